@@ -78,3 +78,115 @@ def recommend_items(inter: DataFrame, neighbors: DataFrame, n: int = 10,
             .groupBy("user_id", F.col("other").alias("item_id"))
             .agg(F.sum("s").alias("score")))
     return top_n(exclude_seen(cand, inter), n, source)
+
+
+def adjusted_cosine(ratings: DataFrame, k: int | None = 10, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Item-item adjusted cosine.  Ratings are centred on the user mean; the
+    dot product runs over co-raters and is divided by the two full item norms;
+    pairs with a zero norm are dropped."""
+    um = ratings.groupBy("user_id").agg((F.sum("rating") / F.count(F.lit(1))).alias("mu"))
+    c = ratings.join(um, "user_id").select("user_id", "item_id",
+                                           (F.col("rating") - F.col("mu")).alias("d"))
+    norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("nrm"))
+    pairs = co_pairs(c, "user_id", "item_id", carry=["d"], chunk=chunk)
+    agg = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("support"),
+                                      F.sum(F.col("a_d") * F.col("b_d")).alias("dot"))
+    na = norms.select(F.col("item_id").alias("a"), F.col("nrm").alias("na"))
+    nb = norms.select(F.col("item_id").alias("b"), F.col("nrm").alias("nb"))
+    scored = (agg.join(na, "a").join(nb, "b").where((F.col("na") > 0) & (F.col("nb") > 0))
+              .select("a", "b", "support", m6(F.col("dot") / (F.col("na") * F.col("nb"))).alias("score")))
+    return _neighbors(both_ways(scored, keep=["support", "score"]), k)
+
+
+def user_pearson(ratings: DataFrame, min_overlap: int = 5, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """User-user Pearson correlation over co-rated items from exact integer
+    sums; pairs with fewer than ``min_overlap`` common items or zero variance
+    are dropped.  Returns unordered pairs (id < other)."""
+    r = ratings.select("user_id", "item_id", F.col("rating").cast("bigint").alias("y"))
+    pairs = co_pairs(r, "item_id", "user_id", carry=["y"], chunk=chunk)
+    x, y = F.col("a_y"), F.col("b_y")
+    s = (pairs.groupBy("a", "b")
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
+              F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+         .where(F.col("n") >= F.lit(min_overlap)))
+    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    return (s.where((vx > 0) & (vy > 0))
+            .select(F.col("a").alias("id"), F.col("b").alias("other"), F.col("n").alias("support"),
+                    m6(cov / F.sqrt(vx.cast("double") * vy.cast("double"))).alias("score")))
+
+
+def predict_user_cf(ratings: DataFrame, pearson: DataFrame, k: int | None = None) -> DataFrame:
+    """``mean(u) + sum(c (y_v - mean(v))) / sum |c|`` over neighbors v with
+    c > 0 that rated the item, for items u has not rated.  ``k`` keeps the k
+    most similar neighbors per user (None: all with c > 0)."""
+    directed = both_ways(pearson.where(F.col("score") > 0).select(
+        F.col("id").alias("a"), F.col("other").alias("b"), "score"), keep=["score"])
+    if k:
+        directed = top_k(directed, "id", k, key="other")
+    um = ratings.groupBy("user_id").agg(F.sum("rating").alias("s"), F.count(F.lit(1)).alias("n"))
+    dv = (ratings.join(um, "user_id")
+          .select(F.col("user_id").alias("other"), "item_id",
+                  (F.col("rating") - F.col("s") / F.col("n")).alias("dev")))
+    contrib = (directed.select(F.col("id").alias("user_id"), "other", F.col("score").alias("c"))
+               .join(dv, "other"))
+    agg = (exclude_seen(contrib, ratings).groupBy("user_id", "item_id")
+           .agg(F.sum(F.col("c") * F.col("dev")).alias("num"), F.sum(F.abs("c")).alias("den")))
+    from pickwise.functions.scores import r6
+    return (agg.join(um, "user_id")
+            .select("user_id", "item_id",
+                    r6(F.col("s") / F.col("n") + F.col("num") / F.col("den")).alias("pred")))
+
+
+def slope_one_devs(ratings: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """C8 deviations: for each ordered item pair, co-rater count ``n`` and the
+    integer ``d = sum(y_i - y_j)``; ``dev = d / n``."""
+    r = ratings.select("user_id", "item_id", F.col("rating").cast("bigint").alias("y"))
+    pairs = co_pairs(r, "user_id", "item_id", carry=["y"], chunk=chunk)
+    agg = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"),
+                                      F.sum(F.col("a_y") - F.col("b_y")).alias("d"))
+    fwd = agg.select(F.col("a").alias("i"), F.col("b").alias("j"), "n", "d")
+    rev = agg.select(F.col("b").alias("i"), F.col("a").alias("j"), "n", (-F.col("d")).alias("d"))
+    return fwd.unionByName(rev)
+
+
+def slope_one(ratings: DataFrame, devs: DataFrame | None = None) -> DataFrame:
+    """Weighted Slope One predictions for unrated items,
+    ``sum(n_ji dev_ji + n_ji y_ui) / sum n_ji`` = ``sum(d_ji + n_ji y_ui) / sum n_ji``
+    (exact integer sums)."""
+    from pickwise.functions.scores import r6
+    devs = devs if devs is not None else slope_one_devs(ratings)
+    contrib = (ratings.select("user_id", F.col("item_id").alias("j_rated"), F.col("rating"))
+               .join(devs.select(F.col("j").alias("j_rated"), F.col("i").alias("item_id"), "n", "d"),
+                     "j_rated")
+               .select("user_id", "item_id", "n", (F.col("d") + F.col("n") * F.col("rating")).alias("num")))
+    agg = exclude_seen(contrib, ratings).groupBy("user_id", "item_id").agg(
+        F.sum("num").alias("num"), F.sum("n").alias("den"))
+    return agg.select("user_id", "item_id", r6(F.col("num") / F.col("den")).alias("pred"))
+
+
+def bias_baseline(ratings: DataFrame, damp: float = 10.0):
+    """``mu + b_i + b_u`` with ``b_i = sum(y - mu) / (n_i + damp)`` and then
+    ``b_u = sum(y - mu - b_i) / (n_u + damp)``.  Returns (mu column, item biases,
+    user biases); ``mu`` is a scalar subquery."""
+    mu = ratings.agg(F.avg("rating")).scalar()
+    bi = ratings.groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        ((F.sum("rating") - F.count(F.lit(1)) * mu) / (F.count(F.lit(1)) + F.lit(damp))).alias("b_i"))
+    bu = (ratings.join(bi.select("item_id", "b_i"), "item_id")
+          .groupBy("user_id").agg(
+              F.count(F.lit(1)).alias("n"),
+              ((F.sum("rating") - F.count(F.lit(1)) * mu - F.sum("b_i"))
+               / (F.count(F.lit(1)) + F.lit(damp))).alias("b_u")))
+    return mu, bi, bu
+
+
+def predict_bias(pairs: DataFrame, mu, bi: DataFrame, bu: DataFrame) -> DataFrame:
+    """C9 prediction for given (user, item) pairs; unknown biases count as 0."""
+    from pickwise.functions.scores import r6
+    return (pairs.select("user_id", "item_id")
+            .join(bi.select("item_id", "b_i"), "item_id", "left")
+            .join(bu.select("user_id", "b_u"), "user_id", "left")
+            .select("user_id", "item_id",
+                    r6(mu + F.coalesce("b_i", F.lit(0.0)) + F.coalesce("b_u", F.lit(0.0))).alias("pred")))

@@ -65,8 +65,9 @@ def both_ways(pairs: DataFrame, a: str = "a", b: str = "b",
     ``mirrored`` lists (x, y) column pairs that swap with the direction, e.g.
     per-side norms; ``keep`` lists symmetric columns copied as they are.
     """
-    fwd = [F.col(a).alias("id"), F.col(b).alias("other"), *keep,
-           *[F.col(x).alias(x) for x, _ in mirrored], *[F.col(y).alias(y) for _, y in mirrored]]
-    rev = [F.col(b).alias("id"), F.col(a).alias("other"), *keep,
-           *[F.col(y).alias(x) for x, _ in mirrored], *[F.col(x).alias(y) for _, y in mirrored]]
+    fwd = [F.col(a).alias("id"), F.col(b).alias("other"), *keep]
+    rev = [F.col(b).alias("id"), F.col(a).alias("other"), *keep]
+    for x, y in mirrored:
+        fwd += [F.col(x).alias(x), F.col(y).alias(y)]
+        rev += [F.col(y).alias(x), F.col(x).alias(y)]
     return pairs.select(*fwd).unionByName(pairs.select(*rev))

@@ -34,3 +34,120 @@ def top_n(scored: DataFrame, n: int, source: str | None = None) -> DataFrame:
 def exclude_seen(scored: DataFrame, seen: DataFrame) -> DataFrame:
     """R2: drop (user, item) pairs the user already has (left anti join)."""
     return scored.join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+
+
+def merge_rrf(recs: Sequence[DataFrame], weights: Sequence[float] | None = None,
+              n: int = 10, k0: int = 60) -> DataFrame:
+    """Reciprocal-rank fusion, ``sum(weight / (k0 + rank))`` per (user, item).
+
+    Each term is taken in millionths before summing, so the fused score is exact.
+    """
+    from pickwise.functions.scores import m6
+    weights = list(weights or [1.0] * len(recs))
+    if len(weights) != len(recs):
+        raise ValueError("one weight per list")
+    parts = [r.select("user_id", "item_id",
+                      m6(F.lit(float(wt)) / (F.lit(k0) + F.col("rank"))).alias("s"))
+             for r, wt in zip(recs, weights)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    fused = u.groupBy("user_id", "item_id").agg(F.sum("s").alias("score"))
+    return top_n(fused, n, "rrf")
+
+
+def fill_popular(recs: DataFrame, users: DataFrame, seen: DataFrame, pop_ranked: DataFrame,
+                 n: int = 10) -> DataFrame:
+    """Give every user in ``users`` a list of n: their own recs first, then the
+    most popular items they have neither seen nor been recommended.
+
+    ``pop_ranked`` is (item_id, users, grank) with grank the global popularity
+    rank.  A user with e excluded items needs at most the top (n + e) popular
+    items, so each user explodes exactly that many rank slots and joins them to
+    the ranking on grank (an equi-join).  Work is linear in users x n plus
+    history length; no user is capped and no product of tables is formed.
+    """
+    own = recs.select("user_id", "item_id", "score", "rank", "source")
+    have = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("_have"))
+    excl = own.select("user_id", "item_id").unionByName(seen.select("user_id", "item_id")).distinct()
+    n_excl = excl.groupBy("user_id").agg(F.count(F.lit(1)).alias("_excl"))
+    need = (users.select("user_id").distinct()
+            .join(have, "user_id", "left").join(n_excl, "user_id", "left")
+            .select("user_id", F.coalesce("_have", F.lit(0)).alias("_have"),
+                    (F.lit(n) - F.coalesce("_have", F.lit(0))).alias("_need"),
+                    F.coalesce("_excl", F.lit(0)).alias("_excl"))
+            .where(F.col("_need") > 0))
+    slots = need.select("user_id", "_have", "_need",
+                        F.explode(F.sequence(F.lit(1).cast("bigint"),
+                                             (F.col("_need") + F.col("_excl")).cast("bigint")))
+                        .alias("grank"))
+    cand = (slots.join(pop_ranked.select("item_id", "users", "grank"), "grank")
+            .join(excl, ["user_id", "item_id"], "left_anti"))
+    w = Window.partitionBy("user_id").orderBy(F.col("grank").asc())
+    fill = (cand.withColumn("_r", F.row_number().over(w))
+            .where(F.col("_r") <= F.col("_need"))
+            .select("user_id", "item_id", F.col("users").cast("bigint").alias("score"),
+                    (F.col("_have") + F.col("_r")).cast("bigint").alias("rank"),
+                    F.lit("popular").alias("source")))
+    return own.unionByName(fill)
+
+
+def cap_per_group(recs: DataFrame, items: DataFrame, key: str, m: int = 2,
+                  n: int = 10) -> DataFrame:
+    """At most m items per ``key`` value (e.g. brand) in a list, then top n."""
+    j = recs.select("user_id", "item_id", "score", "source").join(
+        items.select("item_id", key), "item_id")
+    w = Window.partitionBy("user_id", key).orderBy(*rank_order())
+    capped = j.withColumn("_g", F.row_number().over(w)).where(F.col("_g") <= F.lit(m))
+    return top_n(capped.drop("_g", key), n)
+
+
+def mmr(recs: DataFrame, neighbors: DataFrame, lam: float = 0.7, n: int = 10) -> DataFrame:
+    """Greedy maximal marginal relevance over each user's candidate list.
+
+    Picks, n times, the candidate maximising ``lam*score - (1-lam)*max sim to
+    the items already picked`` (ties to the smaller item id); similarities come
+    from ``neighbors`` (missing pair = 0), both in millionths.  Candidate lists
+    are top-k outputs, so one user's group is bounded; the greedy loop is the
+    one Python function on the data path (Arrow-batched, per user).
+    """
+    import numpy as np
+    import pandas as pd
+
+    cand = recs.select("user_id", "item_id", F.col("score").cast("double").alias("score"))
+    mine = recs.select(F.col("user_id").alias("u"), F.col("item_id").alias("i"))
+    theirs = recs.select(F.col("user_id").alias("u2"), F.col("item_id").alias("o"))
+    nb = neighbors.select(F.col("id").alias("nb_i"), F.col("other").alias("nb_o"),
+                          F.col("score").cast("double").alias("sim"))
+    sims = (mine.join(nb, F.col("i") == F.col("nb_i"))
+            .join(theirs, (F.col("u2") == F.col("u")) & (F.col("o") == F.col("nb_o")))
+            .select(F.col("u").alias("user_id"), F.col("i").alias("item_id"),
+                    F.col("o").alias("other"), "sim"))
+
+    def pick(key, cdf: pd.DataFrame, sdf: pd.DataFrame) -> pd.DataFrame:
+        cdf = cdf.sort_values("item_id", kind="stable")
+        ids = cdf["item_id"].to_numpy()
+        rel = cdf["score"].to_numpy(dtype=float)
+        pos = {v: i for i, v in enumerate(ids)}
+        sim = np.zeros((len(ids), len(ids)))
+        for a, b, s in zip(sdf["item_id"], sdf["other"], sdf["sim"]):
+            ia, ib = pos[a], pos[b]
+            sim[ia, ib] = max(sim[ia, ib], s)
+            sim[ib, ia] = max(sim[ib, ia], s)
+        chosen, maxsim = [], np.zeros(len(ids))
+        free = np.ones(len(ids), dtype=bool)
+        for _ in range(min(n, len(ids))):
+            val = np.where(free, lam * rel - (1.0 - lam) * maxsim, -np.inf)
+            i = int(np.argmax(val))  # first max = smallest id (ids sorted)
+            chosen.append(i)
+            free[i] = False
+            maxsim = np.maximum(maxsim, sim[i])
+        return pd.DataFrame({"user_id": np.full(len(chosen), key[0], dtype="int64"),
+                             "item_id": ids[chosen].astype("int64"),
+                             "score": rel[chosen].astype("int64"),
+                             "rank": np.arange(1, len(chosen) + 1, dtype="int64"),
+                             "source": "mmr"})
+
+    return (cand.groupBy("user_id").cogroup(sims.groupBy("user_id"))
+            .applyInPandas(pick, "user_id bigint, item_id bigint, score bigint, rank bigint, "
+                                 "source string"))

@@ -28,4 +28,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so that its queries register."""
     from pickwise.plans import (collab_plans, content_plans, eval_plans,  # noqa: F401
-                                popularity_plans, sequence_plans, source_plans)
+                                popularity_plans, rerank_plans, sequence_plans,
+                                source_plans, stream_plans)

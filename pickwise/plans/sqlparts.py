@@ -59,3 +59,27 @@ FROM (SELECT user_id, item_id, score,
 def unseen(src: str, seen: str = "inter") -> str:
     return (f"(SELECT * FROM {src} c WHERE NOT EXISTS (SELECT 1 FROM {seen} s "
             f"WHERE s.user_id = c.user_id AND s.item_id = c.item_id))")
+
+
+SPLIT_LAST = """marked AS (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY user_id) > 1
+              AND row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+             THEN 'test' ELSE 'train' END AS split FROM ratings),
+train AS (SELECT user_id, item_id, rating, ts, event_id FROM marked WHERE split = 'train'),
+test AS (SELECT user_id, item_id, rating, ts, event_id FROM marked WHERE split = 'test')"""
+
+
+def cand_recs(seen: str, nb: str = "nb", n: int = 10, name: str = "recs") -> str:
+    """Candidate sums over neighbor lists (C6) and the top-n list as CTEs."""
+    return f"""{name}_cand AS (SELECT t.user_id, {nb}.other AS item_id, sum({nb}.score) AS score
+    FROM {seen} t JOIN {nb} ON {nb}.id = t.item_id GROUP BY 1, 2),
+{name}_un AS {unseen(name + '_cand', seen)},
+{name} AS (SELECT * FROM (SELECT user_id, item_id, CAST(score AS BIGINT) AS score,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS BIGINT) AS rank,
+    'item_cf' AS source FROM {name}_un) WHERE rank <= {n})"""
+
+
+# The flagship chain (interactions -> item cosine, 20 neighbors -> 10 recs) as CTEs.
+FLAGSHIP = f"{INTER}, {item_cf(20)}, {cand_recs('inter')}"
+# The movie chain: ratings -> leave-last-out -> item cosine on train -> 10 recs.
+RATING_FLOW = f"{RATINGS}, {SPLIT_LAST}, {item_cf(20, src='train')}, {cand_recs('train')}"
