@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pickwise.session import checkpoint_dir
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str = "grank") -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], name: str = "grank",
+                keep_bucket: bool = False) -> DataFrame:
     """Append ``name`` = 1-based position of each row in the total order ``order``.
 
     ``order`` must be a total order (end it with a unique key) for ranks to be
-    repeatable.
+    repeatable.  ``keep_bucket`` also keeps ``_bucket``, the range partition the
+    row fell in (buckets are contiguous, ordered runs of ranks).
     """
     checkpoint_dir(df.sparkSession)
     cols = df.columns
@@ -32,4 +34,42 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "grank") -> Data
                        .alias("_off")))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (numbered.join(F.broadcast(offsets), "_pid")
-            .select(*cols, (F.col("_off") + local + F.lit(1)).cast("bigint").alias(name)))
+            .select(*cols, (F.col("_off") + local + F.lit(1)).cast("bigint").alias(name),
+                    *([F.col("_pid").alias("_bucket")] if keep_bucket else [])))
+
+
+def neighbor_rows(ranked: DataFrame, key: str, cols: list[str], rank: str = "g",
+                  step: int = -1, prefix: str = "prev_") -> DataFrame:
+    """Values of the row ``step`` places away in the global order, when it has
+    the same ``key`` (lag for step -1, lead for +1); null otherwise.
+
+    Ranks are unique, so this is an equi-join on the rank with no hot key.
+    """
+    other = ranked.select((F.col(rank) - F.lit(step)).alias(rank), F.col(key).alias("_nk"),
+                          *[F.col(c).alias(prefix + c) for c in cols])
+    j = ranked.join(other, rank, "left")
+    same = F.col("_nk") == F.col(key)
+    return j.select(*ranked.columns,
+                    *[F.when(same, F.col(prefix + c)).alias(prefix + c) for c in cols])
+
+
+def running(ranked: DataFrame, value: Column, name: str, how: str = "sum",
+            rank: str = "g") -> DataFrame:
+    """Running ``sum`` or ``max`` of ``value`` over the whole global order.
+
+    Each range bucket is scanned on its own (a window over one bucket, whose
+    size the range partitioner bounds); the totals of earlier buckets, one row
+    per bucket, are carried in through a broadcast.
+    """
+    agg = {"sum": F.sum, "max": F.max}[how]
+    upto = Window.partitionBy("_bucket").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranked.withColumn("_v", value).withColumn("_loc", agg("_v").over(upto))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (local.groupBy("_bucket").agg(agg("_v").alias("_bt"))
+             .select("_bucket", agg("_bt").over(before).alias("_carry")))
+    j = local.join(F.broadcast(carry), "_bucket")
+    if how == "sum":
+        out = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_loc"), F.lit(0))
+    else:
+        out = F.greatest(F.col("_carry"), F.col("_loc"))
+    return j.select(*ranked.columns, out.alias(name))
