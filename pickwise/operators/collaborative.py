@@ -190,3 +190,57 @@ def predict_bias(pairs: DataFrame, mu, bi: DataFrame, bu: DataFrame) -> DataFram
             .join(bu.select("user_id", "b_u"), "user_id", "left")
             .select("user_id", "item_id",
                     r6(mu + F.coalesce("b_i", F.lit(0.0)) + F.coalesce("b_u", F.lit(0.0))).alias("pred")))
+
+
+def pair_rules(lineitem: DataFrame, min_count: int = 2, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Directed pair rules over order baskets (distinct parts per order):
+    count, support = count / orders, confidence = count / count(ante),
+    lift = count * orders / (count(ante) count(cons))."""
+    from pickwise.functions.scores import r6
+    baskets = lineitem.select(F.col("l_orderkey").alias("basket"), F.col("l_partkey").alias("item_id")).distinct()
+    n_orders = baskets.select("basket").distinct().agg(F.count(F.lit(1))).scalar()
+    cnt = baskets.groupBy("item_id").agg(F.count(F.lit(1)).alias("c"))
+    pc = (co_pairs(baskets, "basket", "item_id", chunk=chunk).groupBy("a", "b")
+          .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= F.lit(min_count)))
+    d = both_ways(pc, keep=["n"])
+    j = (d.join(cnt.select(F.col("item_id").alias("id"), F.col("c").alias("ca")), "id")
+         .join(cnt.select(F.col("item_id").alias("other"), F.col("c").alias("cb")), "other"))
+    return j.select(F.col("id").alias("ante"), F.col("other").alias("cons"), "n",
+                    r6(F.col("n") / n_orders).alias("support"),
+                    r6(F.col("n") / F.col("ca")).alias("confidence"),
+                    r6(F.col("n") * n_orders / (F.col("ca") * F.col("cb"))).alias("lift"))
+
+
+def graph_walk(inter: DataFrame, steps: int = 10, damping: float = 0.85,
+               seeds: DataFrame | None = None, checkpoint_every: int = 5) -> DataFrame:
+    """Random walk with restart on the bipartite user-item graph.
+
+    The restart set is ``seeds`` (user_id column; default every user), with
+    mass 1 spread evenly over it.  Each step sends ``damping * m / degree``
+    along every edge and returns ``1 - damping`` of the seed mass to the seeds;
+    ``steps`` is fixed (no convergence test), so results repeat.  State is one
+    row per node; every ``checkpoint_every`` steps it is checkpointed to the
+    shared folder, cutting the lineage.  Returns (kind, node, mass).
+    """
+    from pickwise.session import checkpoint_dir
+    checkpoint_dir(inter.sparkSession)
+    e = inter.select("user_id", "item_id")
+    edges = (e.select(F.lit("u").alias("k"), F.col("user_id").alias("id"),
+                      F.lit("i").alias("dk"), F.col("item_id").alias("did"))
+             .unionByName(e.select(F.lit("i").alias("k"), F.col("item_id").alias("id"),
+                                   F.lit("u").alias("dk"), F.col("user_id").alias("did"))))
+    deg = edges.groupBy("k", "id").agg(F.count(F.lit(1)).alias("d"))
+    seed_ids = (seeds if seeds is not None else e).select(F.col("user_id").alias("id")).distinct()
+    n_seeds = seed_ids.agg(F.count(F.lit(1))).scalar()
+    restart = seed_ids.select(F.lit("u").alias("k"), "id", (F.lit(1.0) / n_seeds).alias("m"))
+    mass = restart
+    out_edges = edges.join(deg, ["k", "id"])
+    for t in range(steps):
+        spread = (mass.join(out_edges, ["k", "id"])
+                  .select(F.col("dk").alias("k"), F.col("did").alias("id"),
+                          (F.lit(damping) * F.col("m") / F.col("d")).alias("m")))
+        back = restart.select("k", "id", (F.lit(round(1.0 - damping, 12)) * F.col("m")).alias("m"))
+        mass = spread.unionByName(back).groupBy("k", "id").agg(F.sum("m").alias("m"))
+        if (t + 1) % checkpoint_every == 0 and t + 1 < steps:
+            mass = mass.checkpoint(eager=True)
+    return mass.select(F.col("k").alias("kind"), F.col("id").alias("node"), F.col("m").alias("mass"))

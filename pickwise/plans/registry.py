@@ -29,4 +29,4 @@ def load_all() -> None:
     """Import every plan module so that its queries register."""
     from pickwise.plans import (collab_plans, content_plans, eval_plans,  # noqa: F401
                                 popularity_plans, rerank_plans, sequence_plans,
-                                source_plans, stream_plans)
+                                source_plans, stream_plans, model_plans)
