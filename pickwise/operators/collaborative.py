@@ -31,16 +31,15 @@ def item_cf(inter: DataFrame, k: int = 10, iuf: bool = False, min_support: int =
     """
     base = inter.select("user_id", "item_id")
     n_item = base.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    pairs = co_pairs(base, "user_id", "item_id", chunk=chunk)
+    # per-item counts ride along with the pairs instead of being joined to
+    # the (much larger) pair aggregate twice afterwards
+    pairs = co_pairs(base.join(n_item, "item_id"), "user_id", "item_id", carry=["n"], chunk=chunk)
     weight = (F.lit(1.0) / F.log(F.lit(1.0) + F.col("group_size"))) if iuf else F.lit(1)
-    agg = (pairs.groupBy("a", "b")
+    agg = (pairs.groupBy("a", "b", "a_n", "b_n")
            .agg(F.count(F.lit(1)).alias("support"), F.sum(weight).alias("num"))
            .where(F.col("support") >= F.lit(min_support)))
-    na = n_item.select(F.col("item_id").alias("a"), F.col("n").alias("na"))
-    nb = n_item.select(F.col("item_id").alias("b"), F.col("n").alias("nb"))
-    scored = (agg.join(na, "a").join(nb, "b")
-              .select("a", "b", "support",
-                      m6(F.col("num") / F.sqrt(F.col("na") * F.col("nb"))).alias("score")))
+    scored = agg.select("a", "b", "support",
+                        m6(F.col("num") / F.sqrt(F.col("a_n") * F.col("b_n"))).alias("score"))
     return _neighbors(both_ways(scored, keep=["support", "score"]), k)
 
 
@@ -53,17 +52,14 @@ def user_cf(inter: DataFrame, k: int = 10, metric: str = "cosine",
     """
     base = inter.select("user_id", "item_id")
     n_user = base.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    pairs = co_pairs(base, "item_id", "user_id", chunk=chunk)
-    agg = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("support"))
-    na = n_user.select(F.col("user_id").alias("a"), F.col("n").alias("na"))
-    nb = n_user.select(F.col("user_id").alias("b"), F.col("n").alias("nb"))
-    cos = m6(F.col("support") / F.sqrt(F.col("na") * F.col("nb")))
-    jac = m6(F.col("support") / (F.col("na") + F.col("nb") - F.col("support")))
+    pairs = co_pairs(base.join(n_user, "user_id"), "item_id", "user_id", carry=["n"], chunk=chunk)
+    agg = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("support"))
+    cos = m6(F.col("support") / F.sqrt(F.col("a_n") * F.col("b_n")))
+    jac = m6(F.col("support") / (F.col("a_n") + F.col("b_n") - F.col("support")))
     if metric not in ("cosine", "jaccard"):
         raise ValueError("metric must be 'cosine' or 'jaccard'")
     score, alt = (cos, jac) if metric == "cosine" else (jac, cos)
-    scored = agg.join(na, "a").join(nb, "b").select("a", "b", "support", score.alias("score"),
-                                                    alt.alias("alt"))
+    scored = agg.select("a", "b", "support", score.alias("score"), alt.alias("alt"))
     directed = both_ways(scored, keep=["support", "score", "alt"])
     ranked = top_k(directed, "id", k, key="other") if k else directed
     return ranked.select("id", "other", "support", "score", "alt", *(["rank"] if k else []))
@@ -88,13 +84,12 @@ def adjusted_cosine(ratings: DataFrame, k: int | None = 10, chunk: int = DEFAULT
     c = ratings.join(um, "user_id").select("user_id", "item_id",
                                            (F.col("rating") - F.col("mu")).alias("d"))
     norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("nrm"))
-    pairs = co_pairs(c, "user_id", "item_id", carry=["d"], chunk=chunk)
-    agg = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("support"),
-                                      F.sum(F.col("a_d") * F.col("b_d")).alias("dot"))
-    na = norms.select(F.col("item_id").alias("a"), F.col("nrm").alias("na"))
-    nb = norms.select(F.col("item_id").alias("b"), F.col("nrm").alias("nb"))
-    scored = (agg.join(na, "a").join(nb, "b").where((F.col("na") > 0) & (F.col("nb") > 0))
-              .select("a", "b", "support", m6(F.col("dot") / (F.col("na") * F.col("nb"))).alias("score")))
+    pairs = co_pairs(c.join(norms, "item_id").where(F.col("nrm") > 0), "user_id", "item_id",
+                     carry=["d", "nrm"], chunk=chunk)
+    agg = pairs.groupBy("a", "b", "a_nrm", "b_nrm").agg(
+        F.count(F.lit(1)).alias("support"), F.sum(F.col("a_d") * F.col("b_d")).alias("dot"))
+    scored = agg.select("a", "b", "support",
+                        m6(F.col("dot") / (F.col("a_nrm") * F.col("b_nrm"))).alias("score"))
     return _neighbors(both_ways(scored, keep=["support", "score"]), k)
 
 

@@ -63,11 +63,15 @@ def both_ways(pairs: DataFrame, a: str = "a", b: str = "b",
     """Turn unordered pairs (a < b) into directed rows (id, other).
 
     ``mirrored`` lists (x, y) column pairs that swap with the direction, e.g.
-    per-side norms; ``keep`` lists symmetric columns copied as they are.
+    per-side norms; ``keep`` lists symmetric columns copied as they are.  One
+    pass: each row is exploded into its two directions (a union of two
+    projections would evaluate the pair aggregate twice).
     """
-    fwd = [F.col(a).alias("id"), F.col(b).alias("other"), *keep]
-    rev = [F.col(b).alias("id"), F.col(a).alias("other"), *keep]
-    for x, y in mirrored:
-        fwd += [F.col(x).alias(x), F.col(y).alias(y)]
-        rev += [F.col(y).alias(x), F.col(x).alias(y)]
-    return pairs.select(*fwd).unionByName(pairs.select(*rev))
+    def side(i, o, swap):
+        fields = [F.col(i).alias("id"), F.col(o).alias("other")]
+        for x, y in mirrored:
+            fields += [F.col(y if swap else x).alias(x), F.col(x if swap else y).alias(y)]
+        return F.struct(*fields)
+    d = pairs.select(F.explode(F.array(side(a, b, False), side(b, a, True))).alias("_d"), *keep)
+    names = ["id", "other"] + [c for xy in mirrored for c in xy]
+    return d.select(*[F.col(f"_d.{c}").alias(c) for c in names], *keep)
