@@ -37,13 +37,15 @@ def event_schema() -> StructType:
     return StructType([StructField(c, types[t], True) for c, t in TABLE_SCHEMAS["events"].items()])
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The events table as a stream, with ``et`` (event-time instant) and ``item_id``."""
+def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None,
+                 pattern: str = "events.parquet") -> DataFrame:
+    """The events table as a stream, with ``et`` (event-time instant) and ``item_id``.
+    ``pattern`` selects the files of the folder that make up the stream."""
     reader = spark.readStream.schema(event_schema())
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # the file source reads a folder; the glob keeps it to the events table
-    s = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    s = reader.option("pathGlobFilter", pattern).parquet(sf_dir.rstrip("/"))
     return s.select("*", event_time("ts").alias("et"),
                     F.get_json_object("props", "$.k").cast("bigint").alias("item_id"))
 
