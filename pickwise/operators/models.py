@@ -56,14 +56,27 @@ def als_predict(model, pairs: DataFrame) -> DataFrame:
 def als_recommend(model, seen: DataFrame, n: int = 10, source: str = "als") -> DataFrame:
     """Top n unseen items per user from an ALS model.
 
-    ``recommendForAllUsers`` returns the best ``n + h`` items, h being the
-    longest history in ``seen``, so every user still has n unseen items after
-    their history is removed: exact, no user is cut short.
+    A user with h seen items needs the model's best ``n + h`` items to keep n
+    unseen ones.  Users are bucketed by ``ceil(log2(h + 1))`` and each bucket
+    asks ``recommendForUserSubset`` for ``n + 2^b`` items, so the request
+    grows with each user's own history (at most twice it), not with the
+    longest history of all: exact, and linear in total history.  The loop
+    runs over the few distinct buckets (at most 64), not over users.
     """
-    h = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
-    recs = model.recommendForAllUsers(n + int(h))
-    flat = recs.select(F.col("user").cast("bigint").alias("user_id"),
-                       F.explode("recommendations").alias("r"))
+    hist = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("h"))
+    users = (model.userFactors.select(F.col("id").cast("bigint").alias("user_id"))
+             .join(hist, "user_id", "left")
+             .select("user_id", F.ceil(F.log2(F.coalesce("h", F.lit(0)) + F.lit(1))).cast("int").alias("b")))
+    buckets = sorted(r.b for r in users.select("b").distinct().collect())
+    parts = []
+    for b in buckets:
+        subset = users.where(F.col("b") == b).select(F.col("user_id").cast("int").alias("user"))
+        recs = model.recommendForUserSubset(subset, n + (1 << b))
+        parts.append(recs.select(F.col("user").cast("bigint").alias("user_id"),
+                                 F.explode("recommendations").alias("r")))
+    flat = parts[0]
+    for p in parts[1:]:
+        flat = flat.unionByName(p)
     scored = flat.select("user_id", F.col("r.item").cast("bigint").alias("item_id"),
                          m6(F.col("r.rating").cast("double")).alias("score"))
     return top_n(exclude_seen(scored, seen), n, source)

@@ -62,33 +62,46 @@ def fill_popular(recs: DataFrame, users: DataFrame, seen: DataFrame, pop_ranked:
     most popular items they have neither seen nor been recommended.
 
     ``pop_ranked`` is (item_id, users, grank) with grank the global popularity
-    rank.  A user with e excluded items needs at most the top (n + e) popular
-    items, so each user explodes exactly that many rank slots and joins them to
-    the ranking on grank (an equi-join).  Work is linear in users x n plus
-    history length; no user is capped and no product of tables is formed.
+    rank.  A user who needs k more items and whose excluded items sit at
+    popularity ranks e_1 < e_2 < ... needs exactly the top ``k + j`` items,
+    where j counts the e_i with ``e_i - i < k`` (e_i - i, the unexcluded items
+    ranked above e_i, never decreases).  The ranks i come from one global
+    sort by (user, rank), so a user with a huge history is spread over many
+    tasks; the slots 1..k+j are then joined to the ranking on grank and the
+    excluded ones removed, which leaves exactly k items per user.  Nothing is
+    capped and no product of tables is formed.
     """
+    from pickwise.operators.ordering import global_rank
+
     own = recs.select("user_id", "item_id", "score", "rank", "source")
     have = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("_have"))
-    excl = own.select("user_id", "item_id").unionByName(seen.select("user_id", "item_id")).distinct()
-    n_excl = excl.groupBy("user_id").agg(F.count(F.lit(1)).alias("_excl"))
-    need = (users.select("user_id").distinct()
-            .join(have, "user_id", "left").join(n_excl, "user_id", "left")
+    need = (users.select("user_id").distinct().join(have, "user_id", "left")
             .select("user_id", F.coalesce("_have", F.lit(0)).alias("_have"),
-                    (F.lit(n) - F.coalesce("_have", F.lit(0))).alias("_need"),
-                    F.coalesce("_excl", F.lit(0)).alias("_excl"))
+                    (F.lit(n) - F.coalesce("_have", F.lit(0))).alias("_need"))
             .where(F.col("_need") > 0))
-    slots = need.select("user_id", "_have", "_need",
-                        F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                             (F.col("_need") + F.col("_excl")).cast("bigint")))
-                        .alias("grank"))
+    excl = own.select("user_id", "item_id").unionByName(seen.select("user_id", "item_id")).distinct()
+    ex = (excl.join(need.select("user_id"), "user_id", "left_semi")
+          .join(pop_ranked.select("item_id", "grank"), "item_id"))
+    g = global_rank(ex, [F.col("user_id").asc(), F.col("grank").asc()], "_g")
+    first = g.groupBy("user_id").agg(F.min("_g").alias("_g0"))
+    before = F.col("grank") - (F.col("_g") - F.col("_g0") + F.lit(1))
+    jstar = (g.join(first, "user_id").join(need.select("user_id", "_need"), "user_id")
+             .where(before < F.col("_need")).groupBy("user_id").agg(F.count(F.lit(1)).alias("_j")))
+    depth = (need.join(jstar, "user_id", "left")
+             .select("user_id", "_have", (F.col("_need") + F.coalesce("_j", F.lit(0))).cast("bigint").alias("_d")))
+    # slots 1.._d, generated block by block so no single array holds them all
+    blk = F.lit(4096).cast("bigint")
+    blocks = depth.select("user_id", "_have", "_d",
+                          F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                               F.floor((F.col("_d") - 1) / blk))).alias("_b"))
+    slots = blocks.select("user_id", "_have", F.explode(F.sequence(
+        F.col("_b") * blk + 1, F.least(F.col("_d"), (F.col("_b") + 1) * blk))).alias("grank"))
     cand = (slots.join(pop_ranked.select("item_id", "users", "grank"), "grank")
             .join(excl, ["user_id", "item_id"], "left_anti"))
-    w = Window.partitionBy("user_id").orderBy(F.col("grank").asc())
-    fill = (cand.withColumn("_r", F.row_number().over(w))
-            .where(F.col("_r") <= F.col("_need"))
-            .select("user_id", "item_id", F.col("users").cast("bigint").alias("score"),
-                    (F.col("_have") + F.col("_r")).cast("bigint").alias("rank"),
-                    F.lit("popular").alias("source")))
+    w = Window.partitionBy("user_id").orderBy(F.col("grank").asc())   # at most n rows per user
+    fill = cand.select("user_id", "item_id", F.col("users").cast("bigint").alias("score"),
+                       (F.col("_have") + F.row_number().over(w)).cast("bigint").alias("rank"),
+                       F.lit("popular").alias("source"))
     return own.unionByName(fill)
 
 

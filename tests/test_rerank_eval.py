@@ -48,6 +48,10 @@ def test_fill_popular_gives_every_user_n(spark):
     # user 9 gets the three most popular items: 2 (3 users), then 1 and 3 (2 users each)
     assert [r.item_id for r in sorted(by[9], key=lambda r: r.rank)] == [2, 1, 3]
     assert len(by[4]) == 3   # u4 has seen 5 only; no CF recs, so all popular
+    # u1 has seen the three most popular items and is recommended 4: the fill
+    # must reach past them to item 5, the only one left
+    assert [(r.item_id, r.source) for r in sorted(by[1], key=lambda r: r.rank)] == [(4, "x"), (5, "popular")] \
+        or [(r.item_id, r.source) for r in sorted(by[1], key=lambda r: r.rank)] == [(4, "item_cf"), (5, "popular")]
 
 
 def test_cap_per_group(spark):
