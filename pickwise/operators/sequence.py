@@ -110,3 +110,26 @@ def user_features(events: DataFrame, ref) -> DataFrame:
         F.datediff(F.lit(ref).cast("date"), F.to_date("last_ts")).cast("bigint").alias("recency_days"),
         F.when(F.col("events") > 1, r6(secs / (F.col("events") - F.lit(1)))).alias("mean_gap_s"),
         F.col("active_days").cast("bigint").alias("active_days"), "last_items")
+
+
+def rolling_value(events: DataFrame, k: int = 5) -> DataFrame:
+    """Q4 rolling values: per event, the sum of ``value`` over the user's last
+    k events (the current one included) in exact integer cents, the number of
+    events in that window and their mean.
+
+    The sum is a difference of global prefix sums: P(g) - P(g - k) when row
+    g - k belongs to the same user, else P(g) - (the user's total before their
+    first event).  P comes from the bucketed running sum and P(g - k) from an
+    equi-join on the rank, so no user's history is sorted in one task.
+    """
+    r = _ordered(events, ["value"]).withColumn(
+        "cents", F.floor(F.col("value") * F.lit(100.0) + F.lit(0.5)).cast("bigint"))
+    p = running(r, F.col("cents"), "P", how="sum")
+    back = neighbor_rows(p, "user_id", ["P"], step=-k, prefix="back_")
+    first = p.groupBy("user_id").agg(F.min(F.struct("g", (F.col("P") - F.col("cents")).alias("base")))
+                                     .alias("f"))
+    j = back.join(first, "user_id")
+    roll = F.col("P") - F.coalesce(F.col("back_P"), F.col("f.base"))
+    cnt = F.least(F.lit(k), F.col("g") - F.col("f.g") + F.lit(1)).cast("bigint")
+    return j.select("user_id", "event_id", roll.alias("roll_cents"), cnt.alias("roll_n"),
+                    r6(roll / F.lit(100.0) / cnt).alias("roll_mean"))

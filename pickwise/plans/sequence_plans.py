@@ -64,3 +64,16 @@ SELECT agg.user_id, events, date_diff('day', CAST(last_ts AS DATE), DATE '2024-0
 FROM agg JOIN l3 ON l3.user_id = agg.user_id""")
 def q4_user_features(spark, sf_dir):
     return sq.user_features(src.load(spark, sf_dir, "events"), "2024-01-31")
+
+
+ROLL = "ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW"
+
+
+@register("q4_rolling_value", f"""SELECT user_id, event_id, roll_cents, roll_n,
+  {q.r6('roll_cents / 100.0 / roll_n')} AS roll_mean FROM (
+  SELECT user_id, event_id,
+         CAST(sum(CAST(floor(value * 100.0 + 0.5) AS BIGINT)) OVER (PARTITION BY user_id {ROLL}) AS BIGINT) AS roll_cents,
+         count(*) OVER (PARTITION BY user_id {ROLL}) AS roll_n
+  FROM events)""")
+def q4_rolling_value(spark, sf_dir):
+    return sq.rolling_value(src.load(spark, sf_dir, "events"), 5)
