@@ -100,9 +100,19 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("last.ts").alias("ts"), F.col("last.event_id").alias("event_id")))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` over the cluster's parallelism when the
+    scan yields fewer partitions than that (a small file with one row group is
+    read by one task).  CPU-heavy per-row work such as tokenising whole texts
+    then runs on every core; a large table already has enough partitions and
+    is left as it is, without a shuffle."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par, key) if df.rdd.getNumPartitions() < par else df
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as article items."""
-    d = load(spark, sf_dir, "documents")
+    d = spread(load(spark, sf_dir, "documents"), "doc_id")
     return d.select(F.col("doc_id").alias("item_id"),
                     F.lit(None).cast("array<string>").alias("tags"), "text", "lang")
 
