@@ -130,25 +130,41 @@ def stream_profile(stream: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- running
 
+def _start(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a query with ``state_partitions`` state-store partitions (default:
+    the cluster's parallelism).  A stream fixes this number in its checkpoint
+    at first start from ``spark.sql.shuffle.partitions``, so it is set only
+    around ``start``."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, prev)
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_append(df: DataFrame, name: str, timeout_s: int = 600) -> DataFrame:
+def run_append(df: DataFrame, name: str, timeout_s: int = 600,
+               state_partitions: int | None = None) -> DataFrame:
     """Run an append-mode stream to the end of its input (availableNow) into
     Parquet under the shared checkpoint folder; return the output as a batch
     DataFrame."""
     spark = df.sparkSession
     base = _scratch(spark, name)
-    q = (df.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
-         .trigger(availableNow=True).start())
+    q = _start(df.writeStream.format("parquet").outputMode("append")
+               .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+               .trigger(availableNow=True), spark, state_partitions)
     q.awaitTermination(timeout_s)
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
 def run_upserts(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600,
-                mode: str = "update") -> DataFrame:
+                mode: str = "update", state_partitions: int | None = None) -> DataFrame:
     """Run an update-mode (or complete-mode) stream to the end of its input;
     every micro-batch's rows are appended (with the batch id) to a change log
     by ``foreachBatch``, and the final state is the newest row per key (a
@@ -160,8 +176,9 @@ def run_upserts(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600,
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(log)
 
-    q = (df.writeStream.outputMode(mode).foreachBatch(sink)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q = _start(df.writeStream.outputMode(mode).foreachBatch(sink)
+               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True),
+               spark, state_partitions)
     q.awaitTermination(timeout_s)
     out = spark.read.parquet(log)
     vals = [c for c in df.columns if c not in keys]
