@@ -106,8 +106,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     read by one task).  CPU-heavy per-row work such as tokenising whole texts
     then runs on every core; a large table already has enough partitions and
     is left as it is, without a shuffle."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par, key) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as it is
+        return df
+    return df.repartition(par, key) if parts < par else df
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

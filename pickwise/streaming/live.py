@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (LongType, StringType, StructField, StructType, TimestampType)
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pickwise.session import checkpoint_dir
 from pickwise.sources.tables import TABLE_SCHEMAS
