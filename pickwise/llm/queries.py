@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import exact_dedup, maxscore, mixing, simhash, url_filter
+from pickwise.llm import (exact_dedup, lattice_lm, maxscore, mixing, sentencepiece_codec, simhash,
+                          toxicity, url_filter)
 from pickwise.sources import load
 
 QUERIES, ORACLES = {}, {}
 
+#: the public vocabulary that operators 8 and 9 read; never copied
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def query(name: str, sql: str | None = None):
     def keep(fn):
@@ -20,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labelled rows of the learning folds."""
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), threshold=0.7)
+
+
 @query("op2_exact_dedup", r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -77,6 +87,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"), weights=(5, 2, 1), limit=3)
 
 
+@query("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids (their number and digest) and whether they decode to its text."""
+    ids = sentencepiece_codec.encode_texts(load(spark, sf_dir, "documents"), PIECES)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return (sentencepiece_codec.decode_ids(ids, PIECES)
+            .select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                    F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("exact")))
+
+
+@query("op9_lattice_lm")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base and lattice log10 probability, learned from four folds of five."""
+    return lattice_lm.lm_scores(load(spark, sf_dir, "documents"), PIECES)
+
+
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as captures: the tables hold no fetch time, so each gets a second of 2024 by its id."""
     at = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(31536000)))
