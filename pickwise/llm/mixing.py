@@ -38,8 +38,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int =
         .otherwise(F.col("w") * F.col("at")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -> DataFrame:
-    """For every row: doc_id, size, source_size, target, taken, copies, part; text is not carried.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """For every row: doc_id, size, source_size, target, taken, copies, part, and ``carry`` columns.
 
     Size is the number of words (null text: 0).  A source gives whole epochs of all its
     documents (``copies``) and, of one more, the documents in md5(doc_id) order until its
@@ -53,7 +53,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -
                         F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD)))
                         .cast("long").alias("size"),
                         F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")).alias("key"),
-                        F.monotonically_increasing_id().alias("seq"))
+                        F.monotonically_increasing_id().alias("seq"), *carry)
     order = [F.col("source"), F.col("key"), F.col("doc_id"), F.col("size"), F.col("seq")]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the range partitions become a written table with their number, so that the passes
@@ -78,4 +78,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -
     part = F.greatest(F.lit(0), F.least(F.col("size"), left))
     return (placed.withColumn("copies", epochs.cast("long")).withColumn("part", part.cast("long"))
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("copies") * F.col("size") + F.col("part")).alias("taken"), "copies", "part"))
+                    (F.col("copies") * F.col("size") + F.col("part")).alias("taken"), "copies", "part", *carry))
+
+
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: each document once per copy, and the
+    one at a source's cut shortened to the words that are taken (joined by one space)."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    plan = (mix(rows, weights, limit, carry=("__row",)).filter("taken > 0")
+            .select("__row", F.col("copies").alias("__copies"), F.col("part").alias("__part"), F.col("size").alias("__size")))
+    cut = (F.col("__part") > 0) & (F.col("__part") < F.col("__size"))
+    times = F.col("__copies") + F.when(F.col("__part") > 0, 1).otherwise(0)
+    taken = (rows.join(plan, "__row")
+             .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+             .withColumn("__cut", cut & (F.col("__copy") > F.col("__copies"))))
+    short = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("__part").cast("int")), " ")
+    taken = taken.withColumn("text", F.when(F.col("__cut"), short).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        taken = taken.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return taken.select(*docs.columns)

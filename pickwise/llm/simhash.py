@@ -45,15 +45,15 @@ def fingerprint(text: bytes, shingle_words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the unsigned fingerprint's bits as a long."""
+    """(doc_id, h, fp) of every row: fp is the unsigned fingerprint's bits as a long, h the text's hash."""
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t.as_py(), shingle_words) for t in batch.column(1)]
+            fps = [fingerprint(t.as_py(), shingle_words) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
-    return (docs.select(F.col("doc_id").cast("long"),
-                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+                [*batch.columns[:2], pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "h", "fp"])
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return (docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("h"), text.cast("binary").alias("text"))
+            .mapInArrow(run, "doc_id long, h long, fp long"))
 
 
 def ball(radius: int) -> list[int]:
@@ -79,23 +79,28 @@ def near_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """For every row: doc_id, fingerprint (16 hex digits), component_id.
+    """For every row: doc_id, fingerprint (16 hex digits), component_id, stays, text_hash.
 
     Texts are lower-cased (A-Z) and cut into words; shingles count as often as they
     occur; a text of fewer words is one shingle; a null, empty or blank text has
     fingerprint zero and links like any other.  component_id is the smallest doc_id
     reachable over links of at most ``max_bits`` bits; rows without an id get the
-    component of their fingerprint, null if none of its rows has an id.  Repeated rows
-    all return.  Other columns are ignored.
+    component of their fingerprint, null if none of its rows has an id.  ``stays`` marks
+    the row with that id; of rows that share it, the one with the least text hash
+    (repeated rows alike).  Repeated rows all return.  Other columns are ignored.
     """
     marked = written(fingerprints(docs, shingle_words))
-    per_fp = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first")
+    per_fp = written(marked.groupBy("fp").agg(first))
     roots = components(near_links(per_fp.select("fp"), max_bits))
     rooted = written(per_fp.join(roots, per_fp.fp == roots.node, "left")
-                     .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+                     .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     # a component may hold a third of all fingerprints: its minimum is a map-side aggregate,
     # and both tables are written so that a hot fingerprint or root can be split in the joins
-    least = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    classes = written(rooted.join(least, "root").select("fp", "component_id"))
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("least")))
+    classes = written(rooted.join(least, "root").select("fp", "least"))
     return (marked.join(classes, "fp")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                    F.col("least.doc_id").alias("component_id"),
+                    (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("h") == F.col("least.h"))).alias("stays"),
+                    F.col("h").alias("text_hash")))
