@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.llm import (exact_dedup, lattice_lm, maxscore, mixing, sentencepiece_codec, simhash,
-                          toxicity, url_filter)
+                          substring_dedup, suffix_dedup, toxicity, url_filter)
 from pickwise.sources import load
 
 QUERIES, ORACLES = {}, {}
@@ -41,6 +41,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"), keep="largest")
 
 
+@query("op3_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+x AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS x FROM i WHERE p + 12 <= len(w)),
+s AS (SELECT x, min(doc_id) AS first FROM x GROUP BY x),
+r AS (SELECT DISTINCT x.doc_id, x.p FROM x JOIN s USING (x) WHERE s.first < x.doc_id),
+g AS (SELECT DISTINCT doc_id, p + o AS p FROM r, range(13) t(o)),
+k AS (SELECT i.doc_id, count(g.p) AS n_removed,
+             string_agg(CASE WHEN g.p IS NULL THEN i.w[i.p] END, ' ' ORDER BY i.p) AS kept
+      FROM i LEFT JOIN g ON g.doc_id = i.doc_id AND g.p = i.p GROUP BY i.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word windows that a smaller doc_id has too."""
+    return substring_dedup.substring_dedup(load(spark, sf_dir, "documents"), window=13)
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the component of fingerprints linked at two bits or fewer."""
@@ -87,6 +105,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"), weights=(5, 2, 1), limit=3)
 
 
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start anywhere else too."""
+    return suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"), window=200)
+
+
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids (their number and digest) and whether they decode to its text."""
