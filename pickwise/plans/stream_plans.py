@@ -38,13 +38,22 @@ def x2_stream_trending(spark, sf_dir):
                            THEN 1 ELSE 0 END AS st, event_id FROM events),
 s AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sn FROM e)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events
-FROM s GROUP BY user_id, sn""")
+FROM s GROUP BY user_id, sn HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def x3_stream_sessions(spark, sf_dir):
-    return live.run_upserts(live.stream_sessions(live.event_stream(spark, sf_dir)), "x3",
-                            ["user_id", "session_start"], mode="complete")
+    """The sessions that have ended by the last watermark."""
+    return live.run_append(live.stream_sessions(live.event_stream(spark, sf_dir)), "x3")
 
 
-@register("x4_stream_dedup")
+@register("x4_stream_dedup", """WITH e AS (
+  SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, ts FROM events),
+l AS (SELECT *, lag(ts) OVER w AS was, lead(ts) OVER w AS next FROM e
+      WINDOW w AS (PARTITION BY user_id, event_type, item_id ORDER BY ts, event_id)),
+r AS (SELECT *, sum(CASE WHEN was IS NULL OR ts >= was + INTERVAL 1 HOUR THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id, event_type, item_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM l),
+c AS (SELECT *, max(ts) OVER (PARTITION BY user_id, event_type, item_id, run) + INTERVAL 1 HOUR AS run_end FROM r)
+SELECT event_id, user_id, event_type, item_id, ts FROM c
+WHERE (was IS NULL OR ts >= was + INTERVAL 1 HOUR)
+  AND run_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def x4_stream_dedup(spark, sf_dir):
     return live.run_append(live.stream_dedup(live.event_stream(spark, sf_dir)), "x4")
 
@@ -58,6 +67,10 @@ def x5_view_to_purchase(spark, sf_dir):
     return live.run_append(j, "x5")
 
 
-@register("x6_stream_profile")
+@register("x6_stream_profile", """SELECT user_id, count(*) AS events,
+  count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+  sum(coalesce(CAST(round(value * 100) AS BIGINT), 0))::BIGINT AS value_cents, max(ts) AS last_ts
+FROM events GROUP BY user_id""")
 def x6_stream_profile(spark, sf_dir):
-    return live.run_upserts(live.stream_profile(live.event_stream(spark, sf_dir)), "x6", ["user_id"])
+    rows = live.run_upserts(live.stream_profile(live.event_stream(spark, sf_dir)), "x6", ["user_id"])
+    return rows.withColumn("last_ts", live.ntz_of("last_ts"))

@@ -7,6 +7,7 @@ session time zone, and ``wall_clock`` turns window bounds back.
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +38,28 @@ def event_schema() -> StructType:
     return StructType([StructField(c, types[t], True) for c, t in TABLE_SCHEMAS["events"].items()])
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder in whatever store it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None,
                  pattern: str = "events.parquet") -> DataFrame:
     """The events table as a stream, with ``et`` (event-time instant) and ``item_id``.
-    ``pattern`` selects the files of the folder that make up the stream."""
+
+    The table is a folder of part files, whose files all belong to the stream, or one
+    file, or (``pattern`` with a ``*``) several files beside each other.
+    """
     reader = spark.readStream.schema(event_schema())
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # the file source reads a folder; the glob keeps it to the events table
-    s = reader.option("pathGlobFilter", pattern).parquet(sf_dir.rstrip("/"))
+    table = f"{sf_dir.rstrip('/')}/{pattern}"
+    if "*" not in pattern and _is_folder(spark, table):
+        s = reader.parquet(table)
+    else:  # the file source reads a folder; the glob keeps it to the table's files
+        s = reader.option("pathGlobFilter", pattern).parquet(sf_dir.rstrip("/"))
     return s.select("*", event_time("ts").alias("et"),
                     F.get_json_object("props", "$.k").cast("bigint").alias("item_id"))
 
@@ -68,7 +82,8 @@ def stream_trending(stream: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 
 def stream_sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
-    """Live sessions per user (session windows)."""
+    """Sessions per user (session windows), for append mode: a session comes out once
+    the watermark has passed its end, so none is ever replaced and state stays bounded."""
     return (stream.withWatermark("et", late)
             .groupBy(F.session_window("et", gap).alias("s"), "user_id")
             .agg(F.count(F.lit(1)).alias("events"))
@@ -78,10 +93,17 @@ def stream_sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "10
 
 
 def stream_dedup(stream: DataFrame, keys=("user_id", "event_type", "item_id"),
-                 within: str = "1 hour") -> DataFrame:
-    """Drop repeats of ``keys`` arriving within the watermark delay."""
-    return stream.withWatermark("et", within).dropDuplicatesWithinWatermark(list(keys)) \
-        .select("event_id", "user_id", "event_type", "item_id", "ts")
+                 within: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """Events whose key did not occur in the hour before, by event time.
+
+    A run of one key without a pause of ``within`` is a session window; its first event
+    (by time, then id) is the one that stays, whatever batch it came in.  Append mode:
+    it comes out, and its state goes, once the watermark has passed the run's end.
+    """
+    first = F.min(F.struct("et", "event_id", "ts")).alias("f")
+    return (stream.withWatermark("et", late)
+            .groupBy(F.session_window("et", within).alias("s"), *keys).agg(first)
+            .select(F.col("f.event_id").alias("event_id"), *keys, F.col("f.ts").alias("ts")))
 
 
 def stream_view_to_purchase(views: DataFrame, purchases: DataFrame, within: str = "1 hour",
@@ -98,38 +120,42 @@ def stream_view_to_purchase(views: DataFrame, purchases: DataFrame, within: str
     return v.join(p, cond, "inner").select(F.col("v_user").alias("user_id"), "view_id", "purchase_id")
 
 
-PROFILE_SCHEMA = "user_id bigint, events bigint, purchases bigint, value_sum double, last_ts timestamp"
-PROFILE_STATE = "events bigint, purchases bigint, value_sum double, last_ts timestamp"
+PROFILE_SCHEMA = "user_id bigint, events bigint, purchases bigint, value_cents bigint, last_ts timestamp"
+PROFILE_STATE = "events bigint, purchases bigint, value_cents bigint, last_ts timestamp"
 
 
 def stream_profile(stream: DataFrame) -> DataFrame:
     """Running profile per user kept in streaming state
-    (``applyInPandasWithState``): events, purchases, value sum and last event
-    time, emitted on every update."""
+    (``applyInPandasWithState``): events, purchases, value in whole cents (so the order
+    of the batches cannot show) and last event time, emitted on every update."""
     import pandas as pd
 
     def update(key, batches, state):
         if state.exists:
             ev, pu, vs, last = state.get
         else:
-            ev, pu, vs, last = 0, 0, 0.0, None
+            ev, pu, vs, last = 0, 0, 0, None
         for pdf in batches:
             ev += len(pdf)
             pu += int((pdf["event_type"] == "purchase").sum())
-            vs += float(pdf["value"].sum())
+            vs += int(pdf["cents"].sum())
             m = pdf["et"].max()
             last = m if last is None or m > last else last
         state.update((ev, pu, vs, last))
         yield pd.DataFrame({"user_id": [key[0]], "events": [ev], "purchases": [pu],
-                            "value_sum": [vs], "last_ts": [last]})
+                            "value_cents": [vs], "last_ts": [last]})
 
-    return (stream.select("user_id", "event_type", "value", "et")
+    cents = F.coalesce(F.round(F.col("value") * 100).cast("bigint"), F.lit(0)).alias("cents")
+    return (stream.select("user_id", "event_type", cents, "et")
             .groupBy("user_id")
             .applyInPandasWithState(update, PROFILE_SCHEMA, PROFILE_STATE, "update", "NoTimeout"))
 
 
 # ---------------------------------------------------------------- running
 
+_STARTING = threading.Lock()
+
+
 def _start(writer, spark: SparkSession, state_partitions: int | None):
     """Start a query with ``state_partitions`` state-store partitions (default:
     the cluster's parallelism).  A stream fixes this number in its checkpoint
@@ -137,19 +163,20 @@ def _start(writer, spark: SparkSession, state_partitions: int | None):
     around ``start``."""
     n = state_partitions or spark.sparkContext.defaultParallelism
     key = "spark.sql.shuffle.partitions"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, prev)
+    with _STARTING:  # the setting is the session's: one start at a time
+        prev = spark.conf.get(key)
+        spark.conf.set(key, str(n))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, prev)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_append(df: DataFrame, name: str, timeout_s: int = 600,
+def run_append(df: DataFrame, name: str,
                state_partitions: int | None = None) -> DataFrame:
     """Run an append-mode stream to the end of its input (availableNow) into
     Parquet under the shared checkpoint folder; return the output as a batch
@@ -159,16 +186,15 @@ def run_append(df: DataFrame, name: str, timeout_s: int = 600,
     q = _start(df.writeStream.format("parquet").outputMode("append")
                .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
                .trigger(availableNow=True), spark, state_partitions)
-    q.awaitTermination(timeout_s)
+    q.awaitTermination()  # to the end of the input; a failed stream raises
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-def run_upserts(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600,
-                mode: str = "update", state_partitions: int | None = None) -> DataFrame:
-    """Run an update-mode (or complete-mode) stream to the end of its input;
-    every micro-batch's rows are appended (with the batch id) to a change log
+def run_upserts(df: DataFrame, name: str, keys: list[str],
+                state_partitions: int | None = None) -> DataFrame:
+    """Run an update-mode stream to the end of its input; every micro-batch's rows are appended (with the batch id) to a change log
     by ``foreachBatch``, and the final state is the newest row per key (a
-    partial aggregate).  Session windows need ``mode='complete'``."""
+    partial aggregate)."""
     spark = df.sparkSession
     base = _scratch(spark, name)
     log = f"{base}/log"
@@ -176,10 +202,10 @@ def run_upserts(df: DataFrame, name: str, keys: list[str], timeout_s: int = 600,
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(log)
 
-    q = _start(df.writeStream.outputMode(mode).foreachBatch(sink)
+    q = _start(df.writeStream.outputMode("update").foreachBatch(sink)
                .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True),
                spark, state_partitions)
-    q.awaitTermination(timeout_s)
+    q.awaitTermination()  # to the end of the input; a failed stream raises
     out = spark.read.parquet(log)
     vals = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*vals), F.col("_batch")).alias("_v")

@@ -74,3 +74,39 @@ def test_user_features_gap(spark):
         span = (g.max()[r.user_id] - g.min()[r.user_id]).total_seconds()
         assert abs(r.mean_gap_s - span / (r.events - 1)) < 1e-6
         assert len(r.last_items) == min(3, r.events)
+
+
+def _one_by_one(spark, rows, cols, folder):
+    """The rows as a table folder, a file for each row, in order."""
+    os.makedirs(folder)
+    for k, row in enumerate(rows):
+        sub = tempfile.mkdtemp(prefix="part-", dir="/tmp")
+        spark.createDataFrame([row], cols).coalesce(1).write.mode("overwrite").parquet(sub)
+        f = [x for x in os.listdir(sub) if x.endswith(".parquet")][0]
+        to = os.path.join(folder, f"part-{k:04d}.parquet")
+        os.link(os.path.join(sub, f), to)
+        os.utime(to, (1_700_000_000 + k, 1_700_000_000 + k))
+
+
+def test_streams_agree_over_one_file_many_files_and_many_batches(spark, tmp_path):
+    cols = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    day = dt.datetime(2024, 1, 1, 10)
+    mins = [0, 20, 15, 70, 75, 200, 205, 215, 400, 420, 900]  # one out of order; 215 within the hour of 205
+    rows = [(i, day + dt.timedelta(minutes=m), 7, "view", 0.1 * i, '{"k": 1}') for i, m in enumerate(mins)]
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.createDataFrame(rows, cols).coalesce(1).write.parquet(f"{one}/events.parquet")
+    _one_by_one(spark, rows, cols, f"{many}/events.parquet")
+    flows = {
+        "x1": lambda s, n: live.run_upserts(live.stream_counts(s), n, ["window_start", "event_type"]),
+        "x3": lambda s, n: live.run_append(live.stream_sessions(s), n),
+        "x4": lambda s, n: live.run_append(live.stream_dedup(s), n),
+        "x6": lambda s, n: live.run_upserts(live.stream_profile(s), n, ["user_id"]),
+    }
+    for name, flow in flows.items():
+        got = [sorted(map(tuple, flow(live.event_stream(spark, d, per), f"{name}{i}").collect()))
+               for i, (d, per) in enumerate([(one, None), (many, None), (many, 1)])]
+        assert got[0] and got[0] == got[1] == got[2], name
+    sessions = live.run_append(live.stream_sessions(live.event_stream(spark, many, 1)), "s").collect()
+    assert sorted(r.events for r in sessions) == [2, 2, 3, 3]  # 10:20 and then 10:15 are one session; 900 is still open
+    kept = live.run_append(live.stream_dedup(live.event_stream(spark, many, 1)), "d").collect()
+    assert sorted(r.event_id for r in kept) == [0, 5, 8]
