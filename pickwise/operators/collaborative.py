@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pickwise.functions.scores import m6
 from pickwise.operators.pairs import DEFAULT_CHUNK, both_ways, co_pairs
 from pickwise.operators.rerank import exclude_seen, top_k, top_n
+from pickwise.operators.skew import loose
 
 
 def _neighbors(directed: DataFrame, k: int | None) -> DataFrame:
@@ -33,7 +34,7 @@ def item_cf(inter: DataFrame, k: int = 10, iuf: bool = False, min_support: int =
     n_item = base.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     # per-item counts ride along with the pairs instead of being joined to
     # the (much larger) pair aggregate twice afterwards
-    pairs = co_pairs(base.join(n_item, "item_id"), "user_id", "item_id", carry=["n"], chunk=chunk)
+    pairs = co_pairs(base.join(loose(n_item), "item_id"), "user_id", "item_id", carry=["n"], chunk=chunk)
     weight = (F.lit(1.0) / F.log(F.lit(1.0) + F.col("group_size"))) if iuf else F.lit(1)
     agg = (pairs.groupBy("a", "b", "a_n", "b_n")
            .agg(F.count(F.lit(1)).alias("support"), F.sum(weight).alias("num"))
@@ -52,7 +53,7 @@ def user_cf(inter: DataFrame, k: int = 10, metric: str = "cosine",
     """
     base = inter.select("user_id", "item_id")
     n_user = base.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    pairs = co_pairs(base.join(n_user, "user_id"), "item_id", "user_id", carry=["n"], chunk=chunk)
+    pairs = co_pairs(base.join(loose(n_user), "user_id"), "item_id", "user_id", carry=["n"], chunk=chunk)
     agg = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("support"))
     cos = m6(F.col("support") / F.sqrt(F.col("a_n") * F.col("b_n")))
     jac = m6(F.col("support") / (F.col("a_n") + F.col("b_n") - F.col("support")))
@@ -70,7 +71,7 @@ def recommend_items(inter: DataFrame, neighbors: DataFrame, n: int = 10,
     """Score each unseen item by the summed neighbor scores of the user's
     items, then keep the top n (Recs)."""
     nb = neighbors.select(F.col("id").alias("item_id"), F.col("other"), F.col("score").alias("s"))
-    cand = (inter.select("user_id", "item_id").join(nb, "item_id")
+    cand = (inter.select("user_id", "item_id").join(loose(nb), "item_id")
             .groupBy("user_id", F.col("other").alias("item_id"))
             .agg(F.sum("s").alias("score")))
     return top_n(exclude_seen(cand, inter), n, source)
@@ -81,10 +82,10 @@ def adjusted_cosine(ratings: DataFrame, k: int | None = 10, chunk: int = DEFAULT
     dot product runs over co-raters and is divided by the two full item norms;
     pairs with a zero norm are dropped."""
     um = ratings.groupBy("user_id").agg((F.sum("rating") / F.count(F.lit(1))).alias("mu"))
-    c = ratings.join(um, "user_id").select("user_id", "item_id",
+    c = ratings.join(loose(um), "user_id").select("user_id", "item_id",
                                            (F.col("rating") - F.col("mu")).alias("d"))
     norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("nrm"))
-    pairs = co_pairs(c.join(norms, "item_id").where(F.col("nrm") > 0), "user_id", "item_id",
+    pairs = co_pairs(c.join(loose(norms), "item_id").where(F.col("nrm") > 0), "user_id", "item_id",
                      carry=["d", "nrm"], chunk=chunk)
     agg = pairs.groupBy("a", "b", "a_nrm", "b_nrm").agg(
         F.count(F.lit(1)).alias("support"), F.sum(F.col("a_d") * F.col("b_d")).alias("dot"))
@@ -121,15 +122,16 @@ def predict_user_cf(ratings: DataFrame, pearson: DataFrame, k: int | None = None
     if k:
         directed = top_k(directed, "id", k, key="other")
     um = ratings.groupBy("user_id").agg(F.sum("rating").alias("s"), F.count(F.lit(1)).alias("n"))
-    dv = (ratings.join(um, "user_id")
+    dv = (ratings.join(loose(um), "user_id")
           .select(F.col("user_id").alias("other"), "item_id",
                   (F.col("rating") - F.col("s") / F.col("n")).alias("dev")))
     contrib = (directed.select(F.col("id").alias("user_id"), "other", F.col("score").alias("c"))
                .join(dv, "other"))
-    agg = (exclude_seen(contrib, ratings).groupBy("user_id", "item_id")
-           .agg(F.sum(F.col("c") * F.col("dev")).alias("num"), F.sum(F.abs("c")).alias("den")))
+    # summed first: what is excluded is then one row per (user, item), not one per neighbor
+    agg = exclude_seen(contrib.groupBy("user_id", "item_id")
+                       .agg(F.sum(F.col("c") * F.col("dev")).alias("num"), F.sum(F.abs("c")).alias("den")), ratings)
     from pickwise.functions.scores import r6
-    return (agg.join(um, "user_id")
+    return (agg.join(loose(um), "user_id")
             .select("user_id", "item_id",
                     r6(F.col("s") / F.col("n") + F.col("num") / F.col("den")).alias("pred")))
 
@@ -156,8 +158,8 @@ def slope_one(ratings: DataFrame, devs: DataFrame | None = None) -> DataFrame:
                .join(devs.select(F.col("j").alias("j_rated"), F.col("i").alias("item_id"), "n", "d"),
                      "j_rated")
                .select("user_id", "item_id", "n", (F.col("d") + F.col("n") * F.col("rating")).alias("num")))
-    agg = exclude_seen(contrib, ratings).groupBy("user_id", "item_id").agg(
-        F.sum("num").alias("num"), F.sum("n").alias("den"))
+    agg = exclude_seen(contrib.groupBy("user_id", "item_id").agg(
+        F.sum("num").alias("num"), F.sum("n").alias("den")), ratings)
     return agg.select("user_id", "item_id", r6(F.col("num") / F.col("den")).alias("pred"))
 
 
@@ -169,7 +171,7 @@ def bias_baseline(ratings: DataFrame, damp: float = 10.0):
     bi = ratings.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("n"),
         ((F.sum("rating") - F.count(F.lit(1)) * mu) / (F.count(F.lit(1)) + F.lit(damp))).alias("b_i"))
-    bu = (ratings.join(bi.select("item_id", "b_i"), "item_id")
+    bu = (ratings.join(loose(bi.select("item_id", "b_i")), "item_id")
           .groupBy("user_id").agg(
               F.count(F.lit(1)).alias("n"),
               ((F.sum("rating") - F.count(F.lit(1)) * mu - F.sum("b_i"))
@@ -181,8 +183,8 @@ def predict_bias(pairs: DataFrame, mu, bi: DataFrame, bu: DataFrame) -> DataFram
     """C9 prediction for given (user, item) pairs; unknown biases count as 0."""
     from pickwise.functions.scores import r6
     return (pairs.select("user_id", "item_id")
-            .join(bi.select("item_id", "b_i"), "item_id", "left")
-            .join(bu.select("user_id", "b_u"), "user_id", "left")
+            .join(loose(bi.select("item_id", "b_i")), "item_id", "left")
+            .join(loose(bu.select("user_id", "b_u")), "user_id", "left")
             .select("user_id", "item_id",
                     r6(mu + F.coalesce("b_i", F.lit(0.0)) + F.coalesce("b_u", F.lit(0.0))).alias("pred")))
 
@@ -198,12 +200,13 @@ def pair_rules(lineitem: DataFrame, min_count: int = 2, chunk: int = DEFAULT_CHU
     pc = (co_pairs(baskets, "basket", "item_id", chunk=chunk).groupBy("a", "b")
           .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= F.lit(min_count)))
     d = both_ways(pc, keep=["n"])
-    j = (d.join(cnt.select(F.col("item_id").alias("id"), F.col("c").alias("ca")), "id")
-         .join(cnt.select(F.col("item_id").alias("other"), F.col("c").alias("cb")), "other"))
+    j = (d.join(loose(cnt.select(F.col("item_id").alias("id"), F.col("c").alias("ca"))), "id")
+         .join(loose(cnt.select(F.col("item_id").alias("other"), F.col("c").alias("cb"))), "other"))
     return j.select(F.col("id").alias("ante"), F.col("other").alias("cons"), "n",
                     r6(F.col("n") / n_orders).alias("support"),
                     r6(F.col("n") / F.col("ca")).alias("confidence"),
-                    r6(F.col("n") * n_orders / (F.col("ca") * F.col("cb"))).alias("lift"))
+                    # products of counts pass the bigint range on large tables: doubles
+                    r6(F.col("n").cast("double") * n_orders / (F.col("ca").cast("double") * F.col("cb"))).alias("lift"))
 
 
 def graph_walk(inter: DataFrame, steps: int = 10, damping: float = 0.85,
@@ -229,9 +232,10 @@ def graph_walk(inter: DataFrame, steps: int = 10, damping: float = 0.85,
     n_seeds = seed_ids.agg(F.count(F.lit(1))).scalar()
     restart = seed_ids.select(F.lit("u").alias("k"), "id", (F.lit(1.0) / n_seeds).alias("m"))
     mass = restart
-    out_edges = edges.join(deg, ["k", "id"])
+    # written once: every step reads the edges with their degrees instead of joining them anew
+    out_edges = edges.join(loose(deg), ["k", "id"]).checkpoint(eager=True)
     for t in range(steps):
-        spread = (mass.join(out_edges, ["k", "id"])
+        spread = (out_edges.join(loose(mass), ["k", "id"])
                   .select(F.col("dk").alias("k"), F.col("did").alias("id"),
                           (F.lit(damping) * F.col("m") / F.col("d")).alias("m")))
         back = restart.select("k", "id", (F.lit(round(1.0 - damping, 12)) * F.col("m")).alias("m"))

@@ -11,7 +11,8 @@ task, and one user or item may hold a third of all rows.
 light group (the common case, ``s = 1``) is not replicated at all, and no join
 key carries more than about ``chunk x chunk`` pairs.  Every unordered pair of a
 group comes out exactly once, oriented so that ``a < b``.  Nothing is capped or
-sampled: the output is the exact pair set.
+sampled: the output is the exact pair set.  The join that tells each row its
+group's size may be split at a hot group too (``loose``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.operators.skew import loose
+
 DEFAULT_CHUNK = 4096
 
 
@@ -36,7 +39,7 @@ def co_pairs(df: DataFrame, group: str, key: str, carry: Sequence[str] = (),
         raise ValueError("chunk must be positive")
     cols = [group, key, *carry]
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
-    tagged = (df.select(*cols).join(sizes, group)
+    tagged = (df.select(*cols).join(loose(sizes), group)
               .withColumn("_s", F.ceil(F.col("group_size") / F.lit(float(chunk))).cast("int"))
               .withColumn("_c", F.pmod(F.xxhash64(F.col(key)), F.col("_s").cast("bigint")).cast("int")))
     left = tagged.select(

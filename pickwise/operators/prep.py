@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.operators.skew import loose
+
 
 def min_support(inter: DataFrame, ku: int = 2, ki: int = 2, rounds: int = 2) -> DataFrame:
     """``rounds`` passes, each keeping users with >= ku items, then items
@@ -13,10 +15,10 @@ def min_support(inter: DataFrame, ku: int = 2, ki: int = 2, rounds: int = 2) ->
     for _ in range(rounds):
         users = (out.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
                  .where(F.col("c") >= F.lit(ku)).select("user_id"))
-        out = out.join(users, "user_id", "left_semi")
+        out = out.join(loose(users), "user_id", "left_semi")
         items = (out.groupBy("item_id").agg(F.count(F.lit(1)).alias("c"))
                  .where(F.col("c") >= F.lit(ki)).select("item_id"))
-        out = out.join(items, "item_id", "left_semi")
+        out = out.join(loose(items), "item_id", "left_semi")
     return out.select(*inter.columns)
 
 
@@ -32,7 +34,7 @@ def mark_last(ratings: DataFrame, ts: str = "ts", tie: str = "event_id") -> Data
                  F.count(F.lit(1)).alias("_cnt")))
     is_test = ((F.col("_cnt") > 1) & (F.col(ts) == F.col("_last.t"))
                & (F.col(tie) == F.col("_last.e")))
-    return (ratings.join(last, "user_id")
+    return (ratings.join(loose(last), "user_id")
             .select(*ratings.columns,
                     F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split")))
 

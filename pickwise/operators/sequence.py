@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pickwise.functions.scores import r6
 from pickwise.operators.ordering import global_rank, neighbor_rows, running
+from pickwise.operators.skew import loose
 
 
 def item_events(events: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     starts = se.where(F.col("is_start") == 1).select("user_id", "g", "_bucket")
     cnt = running(starts.select("user_id", "g", "_bucket"), F.lit(1), "k", how="sum")
     first = cnt.groupBy("user_id").agg(F.min("k").alias("k0"))
-    no = cnt.join(first, "user_id").select(F.col("g").alias("sg"),
+    no = cnt.join(loose(first), "user_id").select(F.col("g").alias("sg"),
                                            (F.col("k") - F.col("k0") + F.lit(1)).cast("bigint").alias("session_no"))
     return per.join(no, "sg").select("user_id", "session_no", "start_ts", "end_ts", "events")
 
@@ -64,7 +65,7 @@ def next_item(events: DataFrame) -> DataFrame:
     tr = n.where(F.col("next_item_id").isNotNull() & F.col("item_id").isNotNull())
     cnt = tr.groupBy("item_id", F.col("next_item_id").alias("next_id")).agg(F.count(F.lit(1)).alias("n"))
     tot = cnt.groupBy("item_id").agg(F.sum("n").alias("total"))
-    return cnt.join(tot, "item_id").select("item_id", "next_id", "n",
+    return cnt.join(loose(tot), "item_id").select("item_id", "next_id", "n",
                                            r6(F.col("n") / F.col("total")).alias("p"))
 
 
@@ -128,7 +129,7 @@ def rolling_value(events: DataFrame, k: int = 5) -> DataFrame:
     back = neighbor_rows(p, "user_id", ["P"], step=-k, prefix="back_")
     first = p.groupBy("user_id").agg(F.min(F.struct("g", (F.col("P") - F.col("cents")).alias("base")))
                                      .alias("f"))
-    j = back.join(first, "user_id")
+    j = back.join(loose(first), "user_id")
     roll = F.col("P") - F.coalesce(F.col("back_P"), F.col("f.base"))
     cnt = F.least(F.lit(k), F.col("g") - F.col("f.g") + F.lit(1)).cast("bigint")
     return j.select("user_id", "event_id", roll.alias("roll_cents"), cnt.alias("roll_n"),

@@ -20,7 +20,7 @@ CASES = {
     "slope_one_devs": lambda s, c: cf.slope_one_devs(src.ratings(s, SF001), chunk=c),
     "pair_rules": lambda s, c: cf.pair_rules(src.load(s, SF001, "lineitem"), 1, chunk=c),
     "tag_similar": lambda s, c: ct.tag_similar(src.catalog(s, SF001), 5, chunk=c),
-    "related": lambda s, c: ct.related(src.articles(s, SF001), 5, 20, chunk=c),
+    "related": lambda s, c: ct.related(src.articles(s, SF001), 5, 0.2, chunk=c),
 }
 
 
