@@ -8,6 +8,7 @@ driver holds one weight per feature and combines one gradient per task.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import written
+from pickwise.llm.common import slices, written
 
 # Sets of identity terms that may stand for one another.
 IDENTITY_SETS = [
@@ -59,6 +60,26 @@ def swaps_of(words: set[str]) -> list[set[str]]:
     return out
 
 
+class Known(dict):
+    """Numbers of the features of words met before: the latest ``size`` words to twice as many."""
+
+    def __init__(self, index: dict[str, int], size: int = 100_000):
+        super().__init__()
+        self.index, self.size, self.old = index, size, {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = self.old.get(word)
+        if found is None:
+            found = tuple(self.index[f] for f in features_of(word) if f in self.index)
+        self[word] = found
+        return found
+
+    def turn(self) -> None:
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
 @dataclass
 class Model:
     """Weights by feature, the intercept, and what they were learned from."""
@@ -72,29 +93,26 @@ class Model:
 
         Null and empty texts get the intercept's score.  Every whole text is read.
         """
-        model = docs.sparkSession.sparkContext.broadcast((self.weights, self.intercept))
-        kept = docs.select(*(keep or ["doc_id"])).schema
+        model = docs.sparkSession.sparkContext.broadcast(
+            ({f: i for i, f in enumerate(self.weights)}, list(self.weights.values()), self.intercept))
+        rows = docs.select(*(keep or ["doc_id"]))
+        kept = rows.schema
+        at = kept.names.index("text") if "text" in kept.names else len(kept)
+        if at == len(kept):
+            rows = docs.select(*(keep or ["doc_id"]), F.col("text"))
         names = [*kept.names, "score"]
-        rows = docs.select(*(keep or ["doc_id"]), F.coalesce(F.col("text"), F.lit("")).alias("__text"))
 
         def run(batches):
-            weights, intercept = model.value
-            known: dict[str, tuple] = {}
-            for batch in batches:
+            index, weights, intercept = model.value
+            known = Known(index)
+            for batch in slices(batches):
                 z = np.empty(batch.num_rows)
-                for i, text in enumerate(batch.column(batch.num_columns - 1)):
-                    found = set()
-                    for w in words_of(text.as_py()):
-                        fs = known.get(w)
-                        if fs is None:
-                            if len(known) > 300_000:  # a bounded cache, not a bounded vocabulary
-                                known.clear()
-                            fs = known[w] = tuple(f for f in features_of(w) if f in weights)
-                        found.update(fs)
-                    z[i] = intercept + sum(map(weights.__getitem__, sorted(found)))
+                for i, text in enumerate(batch.column(at)):
+                    found = set().union(*map(known.__getitem__, words_of(text.as_py() or "")))
+                    z[i] = intercept + math.fsum(map(weights.__getitem__, found))
+                    known.turn()
                 score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)],
-                                                 names=names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(names) - 1], pa.array(score)], names=names)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
         return rows.mapInArrow(run, f"{schema}, score double")
 
