@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pickwise.functions.scores import m6, r6
 from pickwise.operators.rerank import exclude_seen, top_n
+from pickwise.operators.skew import loose
 
 INT_MAX = 2**31 - 1
 
@@ -89,18 +90,20 @@ def als_similar(model, k: int = 10) -> DataFrame:
     return nearest(f, k, id_col="item_id", vec_col="features")
 
 
-def frequent_sets(lineitem: DataFrame, min_count: int = 2, min_confidence: float = 0.0):
-    """C14: frequent item sets of any size over order baskets (FP-growth).
-    Returns (item sets with ``n``, association rules)."""
+def frequent_sets(lineitem: DataFrame, min_support: float = 0.0001, max_size: int = 3,
+                  min_confidence: float = 0.0):
+    """C14: frequent item sets over order baskets (FP-growth): sets in at least
+    ``min_support`` of all orders (a share, so it means the same at every size),
+    of up to ``max_size`` items (the feature's limit; None returns all sizes).
+    Returns (item sets with ``n``, association rules).  A basket is one row: the
+    distinct parts of one order."""
     from pyspark.ml.fpm import FPGrowth
     baskets = (lineitem.select("l_orderkey", "l_partkey").distinct()
                .groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("items")))
-    n = baskets.agg(F.count(F.lit(1))).first()[0]
-    fp = FPGrowth(itemsCol="items", minSupport=min_count / max(n, 1), minConfidence=min_confidence)
-    model = fp.fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     sets = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("n"),
                                      F.size("items").cast("bigint").alias("size"))
-    return sets.where(F.col("n") >= F.lit(min_count)), model.associationRules
+    return (sets if max_size is None else sets.where(F.col("size") <= max_size)), model.associationRules
 
 
 def fit_ranker(events: DataFrame, buckets: int = 1 << 18, iters: int = 20, seed: int = 42):
@@ -128,17 +131,20 @@ def fit_ranker(events: DataFrame, buckets: int = 1 << 18, iters: int = 20, seed:
     return model, scored
 
 
-def topics(articles: DataFrame, k: int = 10, iters: int = 10, seed: int = 42) -> DataFrame:
-    """Topic mix per article (CountVectorizer and online LDA); returns
-    (item_id, topic, weight) for the article's main topic and the full mix."""
+def topics(articles: DataFrame, k: int = 10, iters: int = 10, seed: int = 42,
+           buckets: int = 1 << 18) -> DataFrame:
+    """Topic mix per article (hashed term counts and online LDA); returns
+    (item_id, topic, weight) for the article's main topic and the full mix.
+
+    Every token of every text counts: terms fall into ``buckets`` hash buckets, so no
+    vocabulary is cut or gathered; terms that share a bucket count as one."""
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.feature import HashingTF
     from pyspark.ml.functions import vector_to_array
     from pickwise.functions.text import tokens
 
     docs = articles.select("item_id", F.coalesce(tokens("text"), F.array().cast("array<string>")).alias("toks"))
-    cv = CountVectorizer(inputCol="toks", outputCol="features", minDF=2.0).fit(docs)
-    vec = cv.transform(docs)
+    vec = HashingTF(inputCol="toks", outputCol="features", numFeatures=buckets).transform(docs)
     lda = LDA(k=k, maxIter=iters, seed=seed, optimizer="online").fit(vec)
     mix = lda.transform(vec).select("item_id", vector_to_array("topicDistribution").alias("mix"))
     top = F.array_max(F.col("mix"))
@@ -146,13 +152,14 @@ def topics(articles: DataFrame, k: int = 10, iters: int = 10, seed: int = 42) ->
                       r6(top).alias("weight"), "mix")
 
 
-def item_vectors(events: DataFrame, dim: int = 16, window: int = 5, sentence: int = 100,
-                 seed: int = 42) -> DataFrame:
+def item_vectors(events: DataFrame, dim: int = 16, window: int = 5, sentence: int = 1000,
+                 seed: int = 42, partitions: int | None = None) -> DataFrame:
     """Item vectors from ordered user histories (Word2Vec).
 
-    Histories are cut into sentences of at most ``sentence`` events using the
-    global order of the sequence module, so no user's history is collected
-    into one row.
+    Histories are cut into sentences of ``sentence`` events (the length at which the model
+    itself cuts) using the global order of the sequence module, so no user's history is
+    collected into one row.  The fit runs on ``partitions`` tasks (default: the cluster's
+    parallelism); each round averages their vectors.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
@@ -162,12 +169,13 @@ def item_vectors(events: DataFrame, dim: int = 16, window: int = 5, sentence: in
     ev = item_events(events).where(F.col("item_id").isNotNull()).select("user_id", "ts", "event_id", "item_id")
     g = global_rank(ev, [F.col("user_id").asc(), F.col("ts").asc(), F.col("event_id").asc()], "g")
     first = g.groupBy("user_id").agg(F.min("g").alias("g0"))
-    pos = g.join(first, "user_id").withColumn("pos", F.col("g") - F.col("g0"))
+    pos = g.join(loose(first), "user_id").withColumn("pos", F.col("g") - F.col("g0"))
     sent = (pos.groupBy("user_id", F.floor(F.col("pos") / F.lit(sentence)).alias("chunk"))
             .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("item_id").cast("string").alias("it"))))
                  .alias("s"))
             .select(F.transform("s", lambda x: x["it"]).alias("words")))
-    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed, inputCol="words",
-                   outputCol="vec").fit(sent)
+    n = partitions or events.sparkSession.sparkContext.defaultParallelism
+    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed, inputCol="words", outputCol="vec",
+                   maxSentenceLength=sentence, numPartitions=n).fit(sent)
     return w2v.getVectors().select(F.col("word").cast("bigint").alias("item_id"),
                                    vector_to_array("vector").alias("vector"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.functions.scores import rank_order
+from pickwise.operators.skew import loose
 
 
 def top_k(df: DataFrame, part: str, k: int, score: str = "score", key: str = "item_id",
@@ -57,27 +58,22 @@ def merge_rrf(recs: Sequence[DataFrame], weights: Sequence[float] | None = None,
 
 
 def fill_popular(recs: DataFrame, users: DataFrame, seen: DataFrame, pop_ranked: DataFrame,
-                 n: int = 10, light: int = 4096) -> DataFrame:
+                 n: int = 10) -> DataFrame:
     """Give every user in ``users`` a list of n: their own recs first, then the
     most popular items they have neither seen nor been recommended.
 
     ``pop_ranked`` is (item_id, users, grank) with grank the global popularity
     rank.  A user who needs k more items and has x excluded (seen or already
-    listed) items finds them among the top k + x popular items.  For users
-    with at most ``light`` exclusions that depth is used directly and the
-    per-user window that picks the first k unexcluded slots stays bounded.
-    For heavier users the exact depth is computed instead: with excluded
-    ranks e_1 < e_2 < ..., the top ``k + j`` items suffice, where j counts the
-    e_i with ``e_i - i < k`` (e_i - i never decreases), and the ranks i come
-    from one global sort, so a huge history is spread over many tasks; the
-    slots then hold exactly k unexcluded items.  Slots are equi-joined to the
-    ranking on grank.  Nothing is capped and no product of tables is formed.
+    listed) items finds them among the top k + x popular items, so users send
+    as many slots as they have exclusions and open places, joined to the
+    ranking on grank.  ``row_number() <= n`` comes first, a literal, so each map
+    task sends at most n rows of a user however long the history; the user's own
+    need cuts the rest.  Nothing is capped and no product of tables is formed.
     """
-    from pickwise.operators.ordering import global_rank
     from pickwise.session import checkpoint_dir
 
-    # the input lists (users x n rows) feed the depth computation, which runs
-    # its own job, and the final union: materialise them once
+    # the input lists (users x n rows) are read for the counts, the exclusions
+    # and the final union: materialise them once
     checkpoint_dir(recs.sparkSession)
     own = recs.select("user_id", "item_id", "score", "rank", "source").checkpoint(eager=True)
     have = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("_have"))
@@ -88,32 +84,18 @@ def fill_popular(recs: DataFrame, users: DataFrame, seen: DataFrame, pop_ranked:
                     (F.lit(n) - F.coalesce("_have", F.lit(0))).alias("_need"),
                     F.coalesce("_x", F.lit(0)).alias("_x"))
             .where(F.col("_need") > 0))
-    direct = (need.where(F.col("_x") <= F.lit(light))
-              .select("user_id", "_have", (F.col("_need") + F.col("_x")).cast("bigint").alias("_d")))
-    heavy = need.where(F.col("_x") > F.lit(light))
-    ex = (excl.join(heavy.select("user_id"), "user_id", "left_semi")
-          .join(pop_ranked.select("item_id", "grank"), "item_id"))
-    g = global_rank(ex, [F.col("user_id").asc(), F.col("grank").asc()], "_g")
-    first = g.groupBy("user_id").agg(F.min("_g").alias("_g0"))
-    before = F.col("grank") - (F.col("_g") - F.col("_g0") + F.lit(1))
-    jstar = (g.join(first, "user_id").join(heavy.select("user_id", "_need"), "user_id")
-             .where(before < F.col("_need")).groupBy("user_id").agg(F.count(F.lit(1)).alias("_j")))
-    exact = (heavy.join(jstar, "user_id", "left")
-             .select("user_id", "_have", (F.col("_need") + F.coalesce("_j", F.lit(0))).cast("bigint").alias("_d")))
-    depth = direct.unionByName(exact)
+    depth = need.select("user_id", "_have", "_need", (F.col("_need") + F.col("_x")).cast("bigint").alias("_d"))
     # slots 1.._d, generated block by block so no single array holds them all
     blk = F.lit(4096).cast("bigint")
-    blocks = depth.select("user_id", "_have", "_d",
+    blocks = depth.select("user_id", "_have", "_need", "_d",
                           F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                F.floor((F.col("_d") - 1) / blk))).alias("_b"))
-    slots = blocks.select("user_id", "_have", F.explode(F.sequence(
+    slots = blocks.select("user_id", "_have", "_need", F.explode(F.sequence(
         F.col("_b") * blk + 1, F.least(F.col("_d"), (F.col("_b") + 1) * blk))).alias("grank"))
-    cand = (slots.join(pop_ranked.select("item_id", "users", "grank"), "grank")
+    cand = (slots.join(loose(pop_ranked.select("item_id", "users", "grank")), "grank")
             .join(excl, ["user_id", "item_id"], "left_anti"))
-    # a light user has at most light + n slots, a heavy one exactly n unexcluded
     w = Window.partitionBy("user_id").orderBy(F.col("grank").asc())
-    fill = (cand.withColumn("_r", F.row_number().over(w))
-            .join(need.select("user_id", "_need"), "user_id")
+    fill = (cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(n))
             .where(F.col("_r") <= F.col("_need"))
             .select("user_id", "item_id", F.col("users").cast("bigint").alias("score"),
                     (F.col("_have") + F.col("_r")).cast("bigint").alias("rank"),

@@ -57,9 +57,17 @@ def c13_pair_rules(spark, sf_dir):
     return cf.pair_rules(src.load(spark, sf_dir, "lineitem"), 2)
 
 
-@register("c14_frequent_sets")
+@register("c14_frequent_sets", """WITH b AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem),
+least AS (SELECT ceil(0.0001::DOUBLE * count(DISTINCT o)) AS m FROM b),
+one AS (SELECT [i] AS items, count(*) AS n FROM b GROUP BY i),
+two AS (SELECT [x.i, y.i] AS items, count(*) AS n FROM b x JOIN b y ON x.o = y.o AND x.i < y.i GROUP BY x.i, y.i),
+three AS (SELECT [x.i, y.i, z.i] AS items, count(*) AS n FROM b x JOIN b y ON x.o = y.o AND x.i < y.i
+          JOIN b z ON z.o = x.o AND y.i < z.i GROUP BY x.i, y.i, z.i),
+every AS (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three)
+SELECT items, n, len(items) AS size FROM every WHERE n >= (SELECT m FROM least)""")
 def c14_frequent_sets(spark, sf_dir):
-    sets, _ = md.frequent_sets(src.load(spark, sf_dir, "lineitem"), 2)
+    """Sets of up to three parts in at least one order in 10,000."""
+    sets, _ = md.frequent_sets(src.load(spark, sf_dir, "lineitem"), min_support=0.0001, max_size=3)
     return sets
 
 

@@ -37,9 +37,8 @@ def test_fill_popular_gives_every_user_n(spark):
     users = spark.createDataFrame([(u,) for u in (1, 2, 3, 4, 9)], "user_id bigint")   # 9: no history
     ranked = global_rank(pop.item_users(inter), [F.col("users").desc(), F.col("item_id").asc()])
     out = rr.fill_popular(recs, users, inter, ranked, n=3).collect()
-    # the exact-depth path for heavy histories must agree with the direct one
-    heavy = rr.fill_popular(recs, users, inter, ranked, n=3, light=0).collect()
-    assert sorted(map(tuple, heavy)) == sorted(map(tuple, out))
+    plan = rr.fill_popular(recs, users, inter, ranked, n=3)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan  # a map task sends at most n rows of a user
     by = {}
     for r in out:
         by.setdefault(r.user_id, []).append(r)
