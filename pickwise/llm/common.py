@@ -51,3 +51,10 @@ def in_blocks(docs: DataFrame, rows_per_block: int) -> DataFrame:
 def spread(df: DataFrame, *by) -> DataFrame:
     """Hash ``df`` over the session's shuffle partitions by the given columns."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def slices(batches, rows: int = 256):
+    """The batches in shorter ones, to hold less beside them."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)

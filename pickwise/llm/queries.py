@@ -114,12 +114,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids (their number and digest) and whether they decode to its text."""
-    ids = sentencepiece_codec.encode_texts(load(spark, sf_dir, "documents"), PIECES)
-    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = load(spark, sf_dir, "documents").withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    ids = sentencepiece_codec.encode_texts(docs, PIECES, keep=("doc_id", "sha"))
     return (sentencepiece_codec.decode_ids(ids, PIECES)
             .select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                     F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-                    F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("exact")))
+                    F.sha2("decoded", 256).alias("decoded_sha256"), "sha")
+            .select("doc_id", "n_ids", "ids_sha256", "decoded_sha256", (F.col("decoded_sha256") == F.col("sha")).alias("exact")))
 
 
 @query("op9_lattice_lm")

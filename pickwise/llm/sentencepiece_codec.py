@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.llm.common import slices
+
 BLANK = "▁"
 #: stands for a blank sign that the text itself holds; no text in UTF-8 has it
 LITERAL = "\ud800"
-CACHE = 200_000
+CACHE = 100_000
 
 
 @dataclass
@@ -149,32 +151,235 @@ def viterbi(parts: Iterable[str], vocabulary: Vocabulary) -> Iterator[list[int]]
     yield path(0, len(held))
 
 
-def encode(text: str, vocabulary: Vocabulary, cache: dict[str, bytes] | None = None) -> bytes:
-    """The ids of a text as little-endian 32-bit numbers; an empty text has none."""
-    if not text:
-        return b""
-    stream = marked(text)
-    if vocabulary.crossing:
-        parts = (stream[k:k + 4096] for k in range(0, len(stream), 4096))
-        return np.array([i for ids in viterbi(parts, vocabulary) for i in ids], "<i4").tobytes()
-    cache = {} if cache is None else cache
-    out = []
-    for word in re.findall(f"{BLANK}+[^{BLANK}]*", stream):
-        ids = cache.get(word)
+def best_path(word: str, vocabulary: Vocabulary) -> bytes:
+    """Ids of ``viterbi`` for a word that is shorter than a window, so nothing commits before its end."""
+    reach, fallback, n = vocabulary.reach, vocabulary.byte_score, len(word)
+    best = [float("-inf")] * (n + 1)
+    best[0] = 0.0
+    back = [(0, -1)] * (n + 1)
+    for start in range(n):
+        score, end = best[start], start + 1
+        piece = reach.get(word[start])
+        if piece is None or piece[0] < 0:
+            if score + fallback > best[end]:
+                best[end] = score + fallback
+                back[end] = (start, -1)
+        elif score + piece[1] > best[end]:
+            best[end] = score + piece[1]
+            back[end] = (start, piece[0])
+        while piece is not None and end < n:
+            end += 1
+            piece = reach.get(word[start:end])
+            if piece is not None and piece[0] >= 0 and score + piece[1] > best[end]:
+                best[end] = score + piece[1]
+                back[end] = (start, piece[0])
+    ids, end = [], n
+    while end:
+        came, piece = back[end]
+        ids += [piece] if piece >= 0 else byte_fallback(word[came], vocabulary)[::-1]
+        end = came
+    return np.array(ids[::-1], "<i4").tobytes()
+
+
+class PieceIndex:
+    """Pieces and their beginnings by hash, to find the pieces of many words at once."""
+
+    FACTOR = 0x9E3779B97F4A7C15
+
+    def __init__(self, pieces: Iterable[str], longest: int):
+        self.names, self.longest = list(pieces), longest
+        number = {name: i for i, name in enumerate(self.names)}
+        beginnings = {p[:k] for p in self.names for k in range(1, len(p) + 1)}
+        hashes, found = np.zeros(len(beginnings), np.uint64), np.full(len(beginnings), -1, np.int32)
+        for i, name in enumerate(beginnings):
+            h = 0
+            for char in name:
+                h = (h * self.FACTOR + ord(char) + 1) & 0xFFFFFFFFFFFFFFFF
+            hashes[i], found[i] = h, number.get(name, -1)
+        order = np.argsort(hashes)
+        self.hashes, self.found = hashes[order], found[order]
+
+    def matches(self, codes: np.ndarray):
+        """(start, end, rows, piece numbers) of every piece in words of one length, as code points."""
+        n = codes.shape[1]
+        factor, one = np.uint64(self.FACTOR), np.uint64(1)
+        for start in range(n):
+            rows = np.arange(len(codes))
+            h = np.zeros(len(codes), np.uint64)
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                h = h * factor + codes[rows, end - 1] + one
+                at = np.searchsorted(self.hashes, h)
+                at[at == len(self.hashes)] = 0
+                hit = self.hashes[at] == h  # words that begin no piece here are done with this start
+                rows, h, piece = rows[hit], h[hit], self.found[at[hit]]
+                if not len(rows):
+                    break
+                whole = piece >= 0
+                yield start, end, rows[whole], piece[whole]
+
+
+def by_length(streams: list[str], most: int = 4096):
+    """(places, code points) of streams of one length, at most ``most`` at a time."""
+    groups: dict[int, list[int]] = {}
+    for i, stream in enumerate(streams):
+        groups.setdefault(len(stream), []).append(i)
+    for n, places in groups.items():
+        for k in range(0, len(places), most):
+            some = places[k:k + most]
+            text = "".join([streams[i] for i in some]).encode("utf-32-le", "surrogatepass")
+            yield some, np.frombuffer(text, "<u4").reshape(len(some), n)
+
+
+class Paths:
+    """``best_path`` of many words at once: the same recursion, a column of words at a time."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.index = PieceIndex(vocabulary.pieces, vocabulary.longest)
+        self.ids = np.array([vocabulary.pieces[p][0] for p in self.index.names], np.int32)
+        self.scores = np.array([vocabulary.pieces[p][1] for p in self.index.names])
+
+    def solve(self, streams: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(streams)
+        for places, codes in by_length(streams):
+            size, n = codes.shape
+            best = np.full((n + 1, size), -np.inf)
+            best[0] = 0.0
+            came = np.zeros((n + 1, size), np.int32)
+            piece = np.full((n + 1, size), -1, np.int32)
+            for start, end, rows, at in self.index.matches(codes):
+                score = best[start, rows] + self.scores[at]
+                better = score > best[end, rows]
+                rows = rows[better]
+                best[end, rows], came[end, rows], piece[end, rows] = score[better], start, at[better]
+            whole = np.isfinite(best).all(axis=0)  # the others need bytes somewhere
+            for i in np.flatnonzero(~whole).tolist():
+                out[places[i]] = best_path(streams[places[i]], self.vocabulary)
+            rows = np.flatnonzero(whole)
+            end = np.full(len(rows), n)
+            ids = np.zeros((len(rows), n), np.int32)
+            used = np.zeros((len(rows), n), bool)
+            for k in range(n - 1, -1, -1):  # paths from their ends, written from the right
+                on = np.flatnonzero(end > 0)
+                if not len(on):
+                    break
+                ids[on, k], used[on, k] = self.ids[piece[end[on], rows[on]]], True
+                end[on] = came[end[on], rows[on]]
+            data = ids[used].astype("<i4").tobytes()
+            cut = np.concatenate(([0], np.cumsum(used.sum(axis=1)))) * 4
+            for i, a, b in zip(rows.tolist(), cut[:-1].tolist(), cut[1:].tolist()):
+                out[places[i]] = data[a:b]
+        return out
+
+
+class Words:
+    """Ids of words met before, the latest ``CACHE`` to twice as many."""
+
+    def __init__(self, vocabulary: Vocabulary, blank: str):
+        self.vocabulary, self.blank, self.new, self.old = vocabulary, blank, {}, {}
+
+    def learn(self, words: set[str], paths: Paths) -> None:
+        """Take in words at once, ahead of their texts."""
+        words = [w for w in words if w not in self.new]
+        fresh = []
+        for w in words:
+            ids = self.old.get(w)
+            if ids is None:
+                if len(w) < 2 * self.vocabulary.longest:
+                    fresh.append(w)
+            else:
+                self.new[w] = ids
+        self.new.update(zip(fresh, paths.solve([self.blank + w.replace(BLANK, LITERAL) for w in fresh])))
+
+    def turn(self) -> None:
+        if len(self.new) >= CACHE:
+            self.old, self.new = self.new, {}
+
+    def miss(self, word: str) -> bytes:
+        ids = self.old.get(word)
         if ids is None:
-            ids = np.array([i for run in viterbi([word], vocabulary) for i in run], "<i4").tobytes()
-            if len(word) <= 64:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                cache[word] = ids
-        out.append(ids)
-    return b"".join(out)
+            stream = self.blank + word.replace(BLANK, LITERAL)
+            if len(stream) > 2 * self.vocabulary.longest:
+                parts = (stream[k:k + 4096] for k in range(0, len(stream), 4096))
+                ids = np.array([i for run in viterbi(parts, self.vocabulary) for i in run], "<i4").tobytes()
+            else:
+                ids = best_path(stream, self.vocabulary)
+        if len(word) <= 64:
+            self.new[word] = ids
+        return ids
+
+
+class Encoder:
+    """``encode`` with the words met before."""
+
+    def __init__(self, vocabulary: Vocabulary, paths: Paths | None = None):
+        self.vocabulary, self.paths = vocabulary, paths
+        self.after_blank, self.bare = Words(vocabulary, BLANK), Words(vocabulary, "")
+        self.line_end = np.array(byte_fallback("\n", vocabulary), "<i4").tobytes()
+        # no piece holds a line feed: every line commits before the next
+        self.by_line = not any("\n" in p for p in vocabulary.pieces)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of several texts; their new words are solved together."""
+        if self.by_line and not self.vocabulary.crossing:
+            blank, bare = set(), set()
+            for text in texts:
+                first, *rest = text.split("\n")
+                blank.update(first.split(" "))
+                for line in rest:
+                    start, *following = line.split(" ")
+                    bare.add(start)
+                    blank.update(following)
+            bare.discard("")
+            self.paths = self.paths or Paths(self.vocabulary)
+            self.after_blank.learn(blank, self.paths)
+            self.bare.learn(bare, self.paths)
+        out = [self.encode(text) for text in texts]
+        self.after_blank.turn()
+        self.bare.turn()
+        return out
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers; an empty text has none."""
+        if not text:
+            return b""
+        if self.vocabulary.crossing or not self.by_line or "  " in text or text[0] == " ":
+            stream = marked(text)
+            words = [stream] if self.vocabulary.crossing else re.findall(f"{BLANK}+[^{BLANK}]*", stream)
+            out = []
+            for word in words:
+                parts = (word[k:k + 4096] for k in range(0, len(word), 4096))
+                if word.count(BLANK) > 1 or not self.by_line:
+                    out.append(np.array([i for run in viterbi(parts, self.vocabulary) for i in run], "<i4").tobytes())
+                else:
+                    self._lines(word[1:].replace(LITERAL, BLANK), out)
+            return b"".join(out)
+        out = []
+        self._lines(text, out)
+        return b"".join(out)
+
+    def _lines(self, text: str, out: list) -> None:
+        words, bare = self.after_blank, self.bare
+        first, *rest = text.split("\n")
+        seen = words.new
+        out += [seen.get(w) or words.miss(w) for w in first.split(" ")]
+        for line in rest:
+            out.append(self.line_end)
+            start, *following = line.split(" ")
+            if start:
+                out.append(bare.new.get(start) or bare.miss(start))
+            seen = words.new
+            out += [seen.get(w) or words.miss(w) for w in following]
+
+
+def encode(text: str, vocabulary: Vocabulary) -> bytes:
+    return Encoder(vocabulary).encode(text)
 
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
     """The text of ids: the exact inverse of ``encode``; other ids decode to what their pieces spell."""
     names = vocabulary.names
-    data = b"".join([names[i] for i in ids])
+    data = b"".join(map(names.__getitem__, ids))
     return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
@@ -185,12 +390,12 @@ def encode_texts(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",
     every task; its size does not depend on the data.
     """
     kept = docs.select(*keep)
-    vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model))
+    paths = docs.sparkSession.sparkContext.broadcast(Paths(read_vocabulary(model)))
 
     def run(batches):
-        words: dict[str, bytes] = {}
-        for batch in batches:
-            runs = [encode(t.as_py() or "", vocabulary.value, words) for t in batch.column(batch.num_columns - 1)]
+        encoder = Encoder(paths.value.vocabulary, paths.value)
+        for batch in slices(batches):
+            runs = encoder.encode_all([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
             offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in runs])))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(runs), "<i4")))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*keep, "ids"])
@@ -205,9 +410,9 @@ def decode_ids(encoded: DataFrame, model: str) -> DataFrame:
     columns = [c for c in encoded.columns if c != "ids"]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column(len(columns))
-            texts = [decode(column[i].values.to_numpy() if column[i].is_valid else (), vocabulary.value)
+            texts = [decode(column[i].values.to_numpy().tolist() if column[i].is_valid else (), vocabulary.value)
                      for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*columns, "ids", "decoded"])
