@@ -14,16 +14,19 @@ import math
 from collections import Counter
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.common import in_blocks, written
-from pickwise.llm.sentencepiece_codec import BLANK, LITERAL, Vocabulary, read_vocabulary
+from pickwise.llm.sentencepiece_codec import BLANK, LITERAL, PieceIndex, Vocabulary, by_length, read_vocabulary
 
-BLOCK_ROWS = 2000
+BLOCK_ROWS = 1000
 #: what the vocabulary's own scores count for, in pieces
 PRIOR = 10_000.0
+#: words of fewer characters are summed many at a time
+LONG = 64
 
 
 @dataclass
@@ -55,19 +58,6 @@ def stream_of(word: str) -> str:
     return BLANK + word.replace(BLANK, LITERAL)
 
 
-def edges(stream: str, start: int, lattice: Lattice):
-    """(end, piece or None for bytes, log probability) of every piece that starts here."""
-    reach = lattice.reach
-    for end in range(start + 1, min(len(stream), start + lattice.longest) + 1):
-        piece = stream[start:end]
-        p = reach.get(piece, 0)
-        if p == 0:
-            break
-        if p is not None:
-            yield end, piece, p
-    yield start + 1, None, written_in_bytes(stream[start], lattice)
-
-
 def log_marginal(word: str, lattice: Lattice) -> float:
     """Natural log of the summed probability of all segmentations of ``▁word``."""
     stream = stream_of(word)
@@ -90,27 +80,87 @@ def log_marginal(word: str, lattice: Lattice) -> float:
     return alpha[n]
 
 
-def expected_pieces(word: str, lattice: Lattice, counts: dict, weight: float) -> None:
-    """Add to ``counts`` how often each piece (or byte) is expected in the word, times ``weight``."""
-    stream = stream_of(word)
-    n = len(stream)
-    out = [list(edges(stream, start, lattice)) for start in range(n)]
-    alpha = [0.0] + [-math.inf] * n
-    for start in range(n):
-        for end, _, p in out[start]:
-            alpha[end] = log_add(alpha[end], alpha[start] + p)
-    beta = [-math.inf] * n + [0.0]
-    for start in range(n - 1, -1, -1):
-        a = alpha[start] - alpha[n]
-        for end, piece, p in out[start]:
-            beta[start] = log_add(beta[start], p + beta[end])
-            share = math.exp(a + p + beta[end])
-            if share > 1e-9:
-                if piece is not None:
-                    counts[piece] = counts.get(piece, 0.0) + weight * share
-                else:
-                    for b in (BLANK if stream[start] == LITERAL else stream[start]).encode():
-                        counts[b] = counts.get(b, 0.0) + weight * share
+class Edges:
+    """The lattices of many words at once."""
+
+    def __init__(self, lattice: Lattice):
+        self.lattice = lattice
+        self.index = PieceIndex(lattice.log_p, lattice.longest)
+        self.names = self.index.names
+        self.log_p = np.array([lattice.log_p[n] for n in self.names])
+        self.bytes: dict[int, float] = {}
+
+    def byte_log(self, codes: np.ndarray) -> np.ndarray:
+        """Log probability of each character written in bytes."""
+        chars, back = np.unique(codes, return_inverse=True)
+        for c in chars.tolist():
+            if c not in self.bytes:
+                self.bytes[c] = written_in_bytes(chr(c), self.lattice)
+        return np.array([self.bytes[c] for c in chars.tolist()])[back.reshape(codes.shape)]
+
+    def forward(self, codes: np.ndarray, found: list, in_bytes: np.ndarray) -> np.ndarray:
+        """Log of the summed probability of all ways to each boundary, in one sweep from the left."""
+        n = codes.shape[1]
+        alpha = np.full((n + 1, len(codes)), -np.inf)
+        alpha[0] = 0.0
+        last = 0
+        for start, end, rows, at in found:
+            while last < start:  # every piece from earlier starts is in
+                alpha[last + 1] = np.logaddexp(alpha[last + 1], alpha[last] + in_bytes[:, last])
+                last += 1
+            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + self.log_p[at])
+        while last < n:
+            alpha[last + 1] = np.logaddexp(alpha[last + 1], alpha[last] + in_bytes[:, last])
+            last += 1
+        return alpha
+
+    def log_marginals(self, words: list[str]) -> np.ndarray:
+        """``log_marginal`` of every word."""
+        out = np.array([log_marginal(w, self.lattice) if len(w) >= LONG else 0.0 for w in words])
+        short = [i for i, w in enumerate(words) if len(w) < LONG]
+        for places, codes in by_length([stream_of(words[i]) for i in short]):
+            out[[short[i] for i in places]] = self.forward(codes, self.index.matches(codes), self.byte_log(codes))[-1]
+        return out
+
+    def expected(self, words: list[str], weights: np.ndarray, pieces: np.ndarray, in_bytes_of: dict[int, float]) -> None:
+        """Add how often each piece, and each character in bytes, is expected in the words.
+
+        The few words over the length that is batched count with the piece sums of their
+        parts of that length.
+        """
+        short, weight = [], []
+        for w, c in zip(words, weights.tolist()):
+            for k in range(0, max(1, len(w)), LONG - 1):
+                short.append(w[k:k + LONG - 1])
+                weight.append(c)
+        weight = np.array(weight)
+        for rows, codes in by_length([stream_of(w) for w in short]):
+            n = codes.shape[1]
+            in_bytes = self.byte_log(codes)
+            found = list(self.index.matches(codes))
+            alpha = self.forward(codes, found, in_bytes)
+            beta = np.full_like(alpha, -np.inf)
+            beta[n] = 0.0
+            total, c = alpha[n], weight[rows]
+            todo = n
+            for start, end, some, at in reversed(found):
+                while todo > start + 1:  # starts without pieces left
+                    todo -= 1
+                    self._bytes_back(codes, in_bytes, alpha, beta, todo, total, c, in_bytes_of)
+                beta[start, some] = np.logaddexp(beta[start, some], self.log_p[at] + beta[end, some])
+                share = np.exp(alpha[start, some] + self.log_p[at] + beta[end, some] - total[some]) * c[some]
+                pieces += np.bincount(at, share, minlength=len(pieces))
+                if end == start + 1:
+                    todo = start
+                    self._bytes_back(codes, in_bytes, alpha, beta, start, total, c, in_bytes_of)
+
+    @staticmethod
+    def _bytes_back(codes, in_bytes, alpha, beta, start, total, c, in_bytes_of):
+        share = np.exp(alpha[start] + in_bytes[:, start] + beta[start + 1] - total) * c
+        beta[start] = np.logaddexp(beta[start], in_bytes[:, start] + beta[start + 1])
+        chars, back = np.unique(codes[:, start], return_inverse=True)
+        for char, x in zip(chars.tolist(), np.bincount(back, share).tolist()):
+            in_bytes_of[char] = in_bytes_of.get(char, 0.0) + x
 
 
 def prior_of(vocabulary: Vocabulary) -> dict:
@@ -165,13 +215,17 @@ def learn(counts: DataFrame, vocabulary: Vocabulary, ends: int) -> Lattice:
     start = counts.sparkSession.sparkContext.broadcast(lattice_from(prior, {}, 0.0))
 
     def run(batches):
-        expected: dict = {}
+        edges = Edges(start.value)
+        pieces, chars = np.zeros(len(edges.names)), {}
         for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                expected_pieces(word.decode("utf-8", "replace"), start.value, expected, float(c))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f"p{k}" if isinstance(k, str) else f"b{k}" for k in expected], pa.string()),
-             pa.array(list(expected.values()), pa.float64())], names=["piece", "n"])
+            words = [w.decode("utf-8", "replace") for w in batch.column(0).to_pylist()]
+            edges.expected(words, batch.column(1).to_numpy().astype(float), pieces, chars)
+        expected = {f"p{name}": n for name, n in zip(edges.names, pieces.tolist()) if n}
+        for char, n in chars.items():
+            for b in (BLANK if chr(char) == LITERAL else chr(char)).encode():
+                expected[f"b{b}"] = expected.get(f"b{b}", 0.0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(expected), pa.string()),
+                                          pa.array(list(expected.values()), pa.float64())], names=["piece", "n"])
 
     rows = (counts.select("word", "c").mapInArrow(run, "piece string, n double").groupBy("piece")
             .agg(F.sum(F.round(F.col("n") * 1e6).cast("decimal(38,0)")).alias("n")).collect())  # as many as pieces
@@ -179,6 +233,16 @@ def learn(counts: DataFrame, vocabulary: Vocabulary, ends: int) -> Lattice:
     return lattice_from(prior, total, float(ends))
 
 
+def with_marginals(counts: DataFrame, lattice) -> DataFrame:
+    """(word, c, m): m is the log marginal of each distinct word, summed once in the whole table."""
+    def run(batches):
+        edges = Edges(lattice.value)
+        for batch in batches:
+            words = [w.decode("utf-8", "replace") for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edges.log_marginals(words))], names=["word", "c", "m"])
+    return counts.select("word", "c").mapInArrow(run, "word binary, c long, m double")
+
+
 def lm_scores(docs: DataFrame, model: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """For every row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -192,37 +256,27 @@ def lm_scores(docs: DataFrame, model: str, block_rows: int = BLOCK_ROWS) -> Data
     flag = docs.select("doc_id", "text")
     blocks = in_blocks(flag, block_rows).withColumns({"learn": learning(), "text": F.col("text").cast("binary")})
     words = written(word_table(blocks))
-    counts = written(words.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"))
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = written(words.groupBy("word").agg(F.sum("n").alias("c")))
+    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     ends = flag.filter(learning()).count()
     tokens, distinct = n + ends, v + (ends > 0)
     vocabulary = read_vocabulary(model)
-    lattice = spark.sparkContext.broadcast(learn(counts, vocabulary, ends))
+    lattice = spark.sparkContext.broadcast(learn(counts.filter("c > 0"), vocabulary, ends))
     # a word is asked for once per block, so a word of every text has one row a block
-    known = (words.select("block", "word").join(counts, "word", "left")
-             .select("block", "word", F.coalesce("c", F.lit(0)).alias("c")))
+    known = words.select("block", "word").join(written(with_marginals(counts, lattice)), "word")
     below = tokens + 0.5 * (distinct + 1)
-    base_end = math.log10((ends + 0.5) / below)
-    cache: dict[bytes, float] = {}
+    base_end, log_end = math.log10((ends + 0.5) / below), lattice.value.log_end
 
     def score(key, texts, words):
-        lat = lattice.value
-        if len(cache) > 200_000:
-            cache.clear()
-        marginal, base, seen = {}, {}, {}
-        for w, c in zip(words.column("word").to_pylist(), words.column("c").to_pylist()):
-            x = cache.get(w)
-            if x is None:
-                x = cache[w] = log_marginal(w.decode("utf-8", "replace"), lat)
-            marginal[w] = x
-            base[w] = math.log10((c + 0.5) / below)
-            seen[w] = c > 0
+        place = dict(zip(words.column("word").to_pylist(), range(len(words))))
+        c = words.column("c").to_numpy()
+        marginal, base, seen = words.column("m").to_numpy(), np.log10((c + 0.5) / below), c > 0
         rows = []
-        for text in texts.column("text").to_pylist():
-            ws = text.lower().split()
-            rows.append((len(ws) + 1, sum(map(seen.__getitem__, ws)) + (ends > 0),
-                         math.fsum(map(base.__getitem__, ws)) + base_end,
-                         (math.fsum(map(marginal.__getitem__, ws)) + lat.log_end) / math.log(10)))
+        for text in texts.column("text"):
+            ws = text.as_py().lower().split()
+            at = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
+            rows.append((len(ws) + 1, int(seen[at].sum()) + (ends > 0), float(base[at].sum()) + base_end,
+                         (float(marginal[at].sum()) + log_end) / math.log(10)))
         columns = list(zip(*rows)) or [()] * 4
         return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(columns[0], pa.int64()),
                          "n_known": pa.array(columns[1], pa.int64()), "base_score": pa.array(columns[2], pa.float64()),
