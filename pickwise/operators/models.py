@@ -84,10 +84,11 @@ def als_recommend(model, seen: DataFrame, n: int = 10, source: str = "als") -> D
 
 
 def als_similar(model, k: int = 10) -> DataFrame:
-    """Items most similar by cosine of their ALS factors (exact, via T8)."""
-    from pickwise.operators.content import nearest
+    """Items most similar by cosine of their ALS factors (approximate, via T9, whose
+    candidates grow with the items; T8 on the factors is exact and quadratic)."""
+    from pickwise.operators.content import nearest_lsh
     f = model.itemFactors.select(F.col("id").cast("bigint").alias("item_id"), F.col("features"))
-    return nearest(f, k, id_col="item_id", vec_col="features")
+    return nearest_lsh(f, k, id_col="item_id", vec_col="features")
 
 
 def frequent_sets(lineitem: DataFrame, min_support: float = 0.0001, max_size: int = 3,

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from pickwise.session import checkpoint_dir
 
+#: rows of a range bucket that ``running`` and ``neighbor_rows`` scan in one task
+BUCKET_ROWS = 1_000_000
+
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "grank",
                 keep_bucket: bool = False) -> DataFrame:
@@ -23,9 +26,12 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "grank",
     repeatable.  ``keep_bucket`` also keeps ``_bucket``, the range partition the
     row fell in (buckets are contiguous, ordered runs of ranks).
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
     cols = df.columns
-    numbered = (df.sort(*order)
+    # buckets grow in number with the table, not in size
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // BUCKET_ROWS))
+    numbered = (df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
@@ -43,22 +49,30 @@ def neighbor_rows(ranked: DataFrame, key: str, cols: list[str], rank: str = "g",
     """Values of the row ``step`` places away in the global order, when it has
     the same ``key`` (lag for step -1, lead for +1); null otherwise.
 
-    Ranks are unique, so this is an equi-join on the rank with no hot key.
+    ``ranked`` keeps its ``_bucket``.  The neighbor is found inside the bucket; where it
+    lies in another one, it is among the |step| rows at that bucket's edge: so many rows
+    per bucket are sent to every task and met on the rank.
     """
-    other = ranked.select((F.col(rank) - F.lit(step)).alias(rank), F.col(key).alias("_nk"),
-                          *[F.col(c).alias(prefix + c) for c in cols])
-    j = ranked.join(other, rank, "left")
-    same = F.col("_nk") == F.col(key)
+    n = abs(step)
+    near = F.struct(F.col(key).alias("_nk"), *[F.col(c).alias(prefix + c) for c in cols])
+    bucket = Window.partitionBy("_bucket")
+    inside = (F.lag if step < 0 else F.lead)(near, n).over(bucket.orderBy(F.col(rank).asc()))
+    from_edge = F.row_number().over(bucket.orderBy(F.col(rank).desc() if step < 0 else F.col(rank).asc()))
+    edge = (ranked.withColumn("_e", from_edge).where(F.col("_e") <= F.lit(n))
+            .select((F.col(rank) - F.lit(step)).alias(rank), near.alias("_edge")))
+    j = ranked.withColumn("_in", inside).join(F.broadcast(edge), rank, "left")
+    found = F.coalesce(F.col("_in"), F.col("_edge"))
+    same = found["_nk"] == F.col(key)
     return j.select(*ranked.columns,
-                    *[F.when(same, F.col(prefix + c)).alias(prefix + c) for c in cols])
+                    *[F.when(same, found[prefix + c]).alias(prefix + c) for c in cols])
 
 
 def running(ranked: DataFrame, value: Column, name: str, how: str = "sum",
             rank: str = "g") -> DataFrame:
     """Running ``sum`` or ``max`` of ``value`` over the whole global order.
 
-    Each range bucket is scanned on its own (a window over one bucket, whose
-    size the range partitioner bounds); the totals of earlier buckets, one row
+    Each range bucket is scanned on its own (a window over one bucket of about
+    ``BUCKET_ROWS`` rows at most); the totals of earlier buckets, one row
     per bucket, are carried in through a broadcast.
     """
     agg = {"sum": F.sum, "max": F.max}[how]

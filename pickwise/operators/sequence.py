@@ -73,7 +73,8 @@ def funnel(events: DataFrame, gap_minutes: int = 30,
            steps: tuple[str, ...] = ("view", "click", "purchase")) -> DataFrame:
     """Q3: sessions reaching each step of ``steps`` in order (each step after
     the previous one within the session, by (ts, event_id))."""
-    se = session_events(events, gap_minutes, cols=("event_type",))
+    # every step reads the sessions: they are found once
+    se = session_events(events, gap_minutes, cols=("event_type",)).checkpoint(eager=True)
     at = F.struct("ts", "event_id")
     reached = se.select("sg").distinct()
     out = [F.count(F.lit(1)).alias("sessions")]

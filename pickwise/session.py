@@ -14,6 +14,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go with their last reader
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
