@@ -107,17 +107,22 @@ def frequent_sets(lineitem: DataFrame, min_support: float = 0.0001, max_size: in
     return (sets if max_size is None else sets.where(F.col("size") <= max_size)), model.associationRules
 
 
-def fit_ranker(events: DataFrame, buckets: int = 1 << 18, iters: int = 20, seed: int = 42):
+def fit_ranker(events: DataFrame, buckets: int = 1 << 18, iters: int = 20, seed: int = 42,
+               train_share: float = 0.8):
     """Purchase-vs-other classifier on user, item and time features
-    (feature hashing and logistic regression).  Returns (model, scored events
-    with ``p_purchase``)."""
+    (feature hashing and logistic regression).
+
+    Fitted on the events before the ``train_share`` quantile of time and scored on the
+    later ones only.  Returns (model, later events with ``label`` and ``p_purchase``)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import FeatureHasher
     from pyspark.ml.functions import vector_to_array
 
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    cut = events.agg(F.percentile_approx(micros, train_share, 100_000)).first()[0]
     feats = events.select(
-        "event_id",
+        "event_id", micros.alias("at"),
         F.col("user_id").cast("string").alias("user"),
         F.get_json_object("props", "$.k").alias("item"),
         F.hour("ts").cast("string").alias("hour"),
@@ -126,8 +131,8 @@ def fit_ranker(events: DataFrame, buckets: int = 1 << 18, iters: int = 20, seed:
     pipe = Pipeline(stages=[
         FeatureHasher(inputCols=["user", "item", "hour", "dow"], outputCol="features", numFeatures=buckets),
         LogisticRegression(maxIter=iters, regParam=0.01, featuresCol="features", labelCol="label")])
-    model = pipe.fit(feats)
-    scored = model.transform(feats).select(
+    model = pipe.fit(feats.where(F.col("at") < F.lit(cut)))
+    scored = model.transform(feats.where(F.col("at") >= F.lit(cut))).select(
         "event_id", "label", r6(vector_to_array("probability")[1]).alias("p_purchase"))
     return model, scored
 

@@ -1,4 +1,6 @@
+import datetime as dt
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -26,6 +28,79 @@ def test_als_ids_must_fit_int(spark):
         md.als(df)
 
 
+def test_implicit_als_ranks_own_group_first(spark):
+    """C11: two groups of users and items; a user's own group's unseen item comes first."""
+    rows = [(u, i, 5.0) for u in range(20) for i in range(10) if u % 2 == i % 2 and (u, i) not in {(0, 4), (1, 5)}]
+    df = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    model = md.als(df, implicit=True, rank=2, iters=10)
+    top = {r.user_id: r.item_id for r in md.als_recommend(model, df, n=1).collect()}
+    assert top[0] == 4 and top[1] == 5
+    near = {}  # C12: an item's nearest are of its own group
+    for r in md.als_similar(model, 4).collect():
+        near.setdefault(r.id, []).append(r.other)
+    assert near and all(o % 2 == i % 2 for i, os in near.items() for o in os[:2])
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                                       "value double, props string")
+
+
+def test_ranker_scores_only_later_events(spark):
+    """Users who buy keep buying; the last fifth of time is scored, and well."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=i), i % 10, "purchase" if i % 10 < 4 else "view", 1.0, f'{{"k": {i % 7}}}')
+            for i in range(1000)]
+    _, scored = md.fit_ranker(_events(spark, rows))
+    got = scored.collect()
+    assert {r.event_id for r in got} == set(range(799, 1000)) or {r.event_id for r in got} == set(range(800, 1000))
+    hit = [r.p_purchase for r in got if r.label == 1.0]
+    miss = [r.p_purchase for r in got if r.label == 0.0]
+    assert min(hit) > max(miss)
+
+
+def test_topics_tell_two_vocabularies_apart(spark):
+    """Texts of two vocabularies get two main topics; empty texts still get a row."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{j}" for j in range(20))) for i in range(400)] + [(999, ""), (998, None)]
+    mix = md.topics(spark.createDataFrame(rows, "item_id long, text string"), k=2, iters=60, buckets=256)
+    got = {r.item_id: r.topic for r in mix.collect()}
+    assert len(got) == 402
+    assert len({got[i] for i in range(0, 400, 2)}) == 1 and len({got[i] for i in range(1, 400, 2)}) == 1
+    assert got[0] != got[1]
+
+
+def test_item_vectors_cover_every_item(spark):
+    """A vector for each item; items of one habit lie nearer than those of another."""
+    start = dt.datetime(2024, 1, 1)
+    pick = random.Random(0)
+    rows = [(n, start + dt.timedelta(minutes=n), u, "view", 1.0, f'{{"k": {pick.randrange(5) + 5 * (u % 2)}}}')
+            for n, u in enumerate(list(range(200)) * 150)]
+    vecs = {r.item_id: r.vector for r in md.item_vectors(_events(spark, rows), dim=8, partitions=2).collect()}
+    assert set(vecs) == set(range(10)) and all(len(v) == 8 for v in vecs.values())
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    same = [cos(vecs[a], vecs[b]) for a in range(5) for b in range(5) if a < b]
+    other = [cos(vecs[a], vecs[b]) for a in range(5) for b in range(5, 10)]
+    assert sum(same) / len(same) > sum(other) / len(other)
+
+
+def test_sketches_stay_within_their_error(spark):
+    """Distinct users within three times the stated error; the heaviest items found."""
+    from pickwise.operators import popularity as pop
+    start = dt.datetime(2024, 1, 1)
+    rows = [(n, start, n % 3000, "view", 1.0, f'{{"k": {0 if n % 3 else n % 200}}}') for n in range(12000)]
+    ev = _events(spark, rows)
+    users = pop.approx_stats(ev, rsd=0.02).collect()
+    exact = {}
+    for n, _, u, _, _, props in rows:
+        exact.setdefault(props, set()).add(u)
+    assert sum(r.events for r in users) == 12000
+    got = {r[0]: r.approx_users for r in users}
+    for props, us in exact.items():
+        k = int(props.split()[1].rstrip("}"))
+        assert abs(got[k] - len(us)) <= max(2, 0.06 * len(us))
+    assert pop.heavy_hitters(ev, 3).filter("rank = 1").first().item_id == 0
+
+
 def test_entry_and_queries_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
