@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -36,9 +37,10 @@ class Kind:
 
     window: int                      # units in a window
     gram: int                        # units in an anchor
-    read: Callable                   # texts -> (array of units, offsets of the texts in it)
+    read: Callable                   # texts -> (array of units, offsets of the texts in it, raw bytes to cut contents from)
     grams: Callable                  # (units, gram) -> hash of the gram at each place
-    content: Callable                # (units, first, last, anchor) -> bytes of a run of windows, and the anchor's place
+    content: Callable                # (raw, first, last, anchor) -> bytes of a run of windows, and the anchor's place
+    width: int                       # bytes of a unit in raw
     per_doc: bool                    # whether an anchor must occur in two documents or just twice
 
 
@@ -116,8 +118,8 @@ class Block:
                 self.own.append((d, t))
             seen.add(sha)
         self.d = np.array([d for d, _ in self.own], np.int64)
-        self.units, self.off = kind.read([t for _, t in self.own])
-        self.first, self.last, self.at, self.hash = runs(kind, self.units, self.off)
+        units, self.off, self.raw = kind.read([t for _, t in self.own])
+        self.first, self.last, self.at, self.hash = runs(kind, units, self.off)
         self.doc = np.searchsorted(self.off, self.first, "right") - 1
 
 
@@ -156,12 +158,12 @@ def candidate_runs(kind: Kind, block: Block, wanted: np.ndarray, hot: np.ndarray
                    block.last[cold].tolist(), cold.tolist())
     for r in found[busy].tolist():
         for w in range(int(block.first[r]), int(block.last[r]) + 1):
-            data = block.units[w:w + kind.window].tobytes()
-            yield int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little"), int(block.at[r]), w, w, r
+            data = block.raw[kind.width * w:kind.width * (w + kind.window)]
+            yield xxhash.xxh3_64_intdigest(data), int(block.at[r]), w, w, r
 
 
 def digest(content: bytes, at: int) -> int:
-    return int.from_bytes(hashlib.blake2b(content + at.to_bytes(4, "little"), digest_size=8).digest(), "little", signed=True)
+    return signed(xxhash.xxh3_64_intdigest(content, at))
 
 
 def signed(x: int) -> int:
@@ -180,7 +182,7 @@ def records(kind: Kind, deal: Callable):
         found: dict = {}
         d = block.d[block.doc] if len(block.doc) else block.doc
         for k, at, first, last, r in candidate_runs(kind, block, wanted, hot):
-            content, place = kind.content(block.units, first, last, at)
+            content, place = kind.content(block.raw, first, last, at)
             mine = int(d[r])
             old = found.get((k, place, content))
             found[k, place, content] = (min(mine, old[0]), max(mine, old[1]), old[2] + 1, old[3]) if old else (
@@ -221,7 +223,7 @@ def finished(kind: Kind, finish: Callable):
         hot = np.array([signed(int(w)) in split for w in wanted], bool)
         windows: dict[int, list] = {}
         for k, at, first, last, r in candidate_runs(kind, block, wanted, hot):
-            content, place = kind.content(block.units, first, last, at)
+            content, place = kind.content(block.raw, first, last, at)
             mark = marks.get((signed(k), digest(content, place)))
             if mark is not None:
                 doc = int(block.doc[r])

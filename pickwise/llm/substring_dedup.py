@@ -9,6 +9,7 @@ windows matched in whole report the smallest document that has them.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ GRAM = 5
 
 
 class WaveletMatrix:
-    """Rank of any symbol at any place of a sequence, over packed bit vectors."""
+    """Counts any symbol before any place of a sequence, over packed bit vectors."""
 
     def __init__(self, symbols: np.ndarray, sigma: int):
         self.levels = max(1, int(sigma - 1).bit_length())
@@ -41,18 +42,16 @@ class WaveletMatrix:
     def _ones(self, i: int, at: np.ndarray) -> np.ndarray:
         word = at >> 6
         mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return self.counts[i][word] + np.bitwise_count(self.bits[i][word] & mask)
+        return self.counts[i][word] + np.bitwise_count(self.bits[i][word] & mask).astype(np.int64)
 
-    def rank(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
-        """How often each symbol occurs before ``low`` and before ``high``."""
-        start = np.zeros(len(symbol), np.int64)
+    def before(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
+        """Where the occurrences of each symbol before ``low`` and before ``high`` end in the last
+        level, in which a symbol's occurrences lie together."""
         for i in range(self.levels):
             one = (symbol >> (self.levels - 1 - i)) & 1 == 1
-            both = self._ones(i, np.concatenate((start, low, high)))
-            s, a, b = np.split(both.astype(np.int64), 3)
-            z = self.zeros[i]
-            start, low, high = (np.where(one, z + s, start - s), np.where(one, z + a, low - a), np.where(one, z + b, high - b))
-        return low - start, high - start
+            a, b = self._ones(i, low), self._ones(i, high)
+            low, high = np.where(one, self.zeros[i] + a, low - a), np.where(one, self.zeros[i] + b, high - b)
+        return low, high
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -74,6 +73,9 @@ class FMIndex:
         self.order = suffix_order(text, depth)
         self.wavelet = WaveletMatrix(text[self.order - 1], sigma)  # place -1 is the last separator
         self.less = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=sigma))))
+        # where each symbol's occurrences start in the wavelet matrix's last level
+        every, none = np.arange(sigma), np.zeros(sigma, np.int64)
+        self.start = self.wavelet.before(every, none, none)[0]
 
     def search(self, text: np.ndarray, ends: np.ndarray, length: int):
         """For windows ``text[end - length:end]``: how many symbols from the end match elsewhere
@@ -89,8 +91,9 @@ class FMIndex:
             if not len(alive):
                 break
             symbol = text[ends[alive] - step]
-            a, b = self.wavelet.rank(symbol, low, high)
-            low, high = self.less[symbol] + a, self.less[symbol] + b
+            a, b = self.wavelet.before(symbol, low, high)
+            move = self.less[symbol] - self.start[symbol]
+            low, high = a + move, b + move
             matched[alive] = step
         keep = high - low > 1
         out_low[alive[keep]], out_high[alive[keep]] = low[keep], high[keep]
@@ -98,12 +101,11 @@ class FMIndex:
 
 
 def read_words(texts: list[bytes]):
-    """Hashes of the words of all texts, and where each text starts."""
-    known = Codes()
+    """Hashes of the words of all texts, where each text starts, and the words' codes as bytes."""
     split = [t.split() for t in texts]
     off = np.concatenate(([0], np.cumsum([len(w) for w in split], dtype=np.int64)))
-    units = np.fromiter((known[w] for ws in split for w in ws), np.uint64, int(off[-1]))
-    return units, off
+    units = np.fromiter(map(Codes().__getitem__, chain.from_iterable(split)), np.uint64, int(off[-1]))
+    return units, off, units.astype(np.uint32).tobytes()
 
 
 class Codes(dict):
@@ -123,13 +125,11 @@ def word_grams(units: np.ndarray, gram: int) -> np.ndarray:
 def kind_of(window: int) -> Kind:
     gram = min(GRAM, window)
 
-    def content(units, first, last, at):
+    def content(raw, first, last, at):
         """Codes of the words before and after the anchor; its own words are in its hash."""
-        codes = units[first:last + window].astype(np.uint32)
-        place = at - first
-        return codes[:place].tobytes() + codes[place + gram:].tobytes(), place
+        return raw[4 * first:4 * at] + raw[4 * (at + gram):4 * (last + window)], at - first
 
-    return Kind(window, gram, read_words, word_grams, content, True)
+    return Kind(window, gram, read_words, word_grams, content, width=4, per_doc=True)
 
 
 def shard_index(window: int):

@@ -28,7 +28,8 @@ RANGES, SAMPLE_DOCS = 1 << 16, 2000
 
 def read_bytes(texts: list[bytes]):
     off = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
-    return np.frombuffer(b"".join(texts), np.uint8), off
+    raw = b"".join(texts)
+    return np.frombuffer(raw, np.uint8), off, raw
 
 
 def byte_grams(units: np.ndarray, gram: int) -> np.ndarray:
@@ -52,9 +53,9 @@ def byte_grams(units: np.ndarray, gram: int) -> np.ndarray:
 
 
 def kind_of(window: int) -> Kind:
-    def content(units, first, last, at):
-        return units[first:last + window].tobytes(), at - first
-    return Kind(window, min(GRAM, max(1, window // 5)), read_bytes, byte_grams, content, False)
+    def content(raw, first, last, at):
+        return raw[first:last + window], at - first
+    return Kind(window, min(GRAM, max(1, window // 5)), read_bytes, byte_grams, content, width=1, per_doc=False)
 
 
 def leading(content: bytes, at: int, key: int) -> bytes:
@@ -71,10 +72,10 @@ def sampled_splitters(docs: DataFrame, kind: Kind, rows: int, sample_docs: int =
 
     def sample(batches):
         for batch in batches:
-            units, off = kind.read(batch.column(0).to_pylist())
+            units, off, raw = kind.read(batch.column(0).to_pylist())
             _, _, at, h = runs(kind, units, off)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([leading(units[a:a + 16].tobytes(), 0, k) for a, k in zip(at[::4].tolist(), h[::4].tolist())],
+                [pa.array([leading(raw[a:a + 16], 0, k) for a, k in zip(at[::4].tolist(), h[::4].tolist())],
                           pa.binary())], names=["lead"])
 
     leads = sorted(r["lead"] for r in some.mapInArrow(sample, "lead binary").distinct().collect())

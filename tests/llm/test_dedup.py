@@ -106,7 +106,7 @@ def test_passages_longer_than_a_chunk(spark, monkeypatch):
     monkeypatch.setattr(passages, "CHUNK", 64)
     text = " ".join(f"v{i * i % 97}" for i in range(500)).encode()
     kind = substring_dedup.kind_of(13)
-    units, off = kind.read([b"", text, text])
+    units, off, _ = kind.read([b"", text, text])
     first, last, _, _ = passages.runs(kind, units, off)
     windows = [w for a, b in zip(first, last) for w in range(a, b + 1)]
     assert sorted(windows) == [*range(488), *range(500, 988)]
