@@ -105,7 +105,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"), weights=(5, 2, 1), limit=3)
 
 
-@query("op7_suffix_dedup")
+@query("op7_suffix_dedup", r"""
+WITH h AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+d AS (SELECT *, length(x) // 2 AS n FROM h),
+s AS (SELECT r, p, md5(substr(x, 2 * p - 1, 400)) AS k
+      FROM (SELECT r, x, unnest(range(1, n - 198)) AS p FROM d WHERE n >= 200)),
+c AS (SELECT r, p, count(*) OVER (PARTITION BY k) AS c FROM s),
+g AS (SELECT r, p, CASE WHEN p > lag(p) OVER (PARTITION BY r ORDER BY p) + 200 THEN 1 ELSE 0 END AS new FROM c WHERE c > 1),
+b AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p ROWS UNBOUNDED PRECEDING) AS span FROM g),
+spans AS (SELECT r, min(p) AS a, max(p) + 199 AS z FROM b GROUP BY r, span),
+cuts AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS was FROM spans),
+kept AS (SELECT r, count(*) AS n_spans, sum(z - a + 1)::BIGINT AS n_removed, max(z) AS last,
+                string_agg(substr(x, 2 * was + 1, 2 * (a - was - 1)), '' ORDER BY a) AS k
+         FROM cuts JOIN d USING (r) GROUP BY r)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN k IS NULL THEN d.x ELSE k || substr(d.x, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 200-byte strings that start anywhere else too."""
     return suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"), window=200)
