@@ -98,7 +98,7 @@ def test_pair_rules_and_fpgrowth_agree(spark):
     rules = {(x.ante, x.cons): (x.n, x.confidence, x.lift) for x in cf.pair_rules(li, 2).collect()}
     assert rules[(1, 2)] == (3, 1.0, 1.0) and rules[(3, 2)] == (3, 1.0, 1.0)
     assert rules[(1, 3)] == (2, round(2 / 3, 6), round(2 * 4 / 9, 6))
-    sets, _ = frequent_sets(li, 2)
+    sets, _ = frequent_sets(li, min_support=0.5)  # two of four orders
     two = {tuple(x["items"]): x.n for x in sets.where(F.col("size") == 2).collect()}
     assert two == {(a, b): n for (a, b), (n, _, _) in rules.items() if a < b}
 
