@@ -29,8 +29,3 @@ def r6(x) -> Column:
 def rank_order(score: str = "score", key: str = "item_id") -> list[Column]:
     """The one ranking order used everywhere: score descending, then id ascending."""
     return [F.col(score).desc(), F.col(key).asc()]
-
-
-def norm_pair(a: str, b: str) -> tuple[Column, Column]:
-    """(least, greatest) of two id columns, for unordered pairs."""
-    return F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
