@@ -17,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import spread, written
+from pickwise.llm.common import slices, spread, written
 
 #: bytes of text that one input task's trie holds before it hands its largest subtree on
-TRIE_BYTES = 32 << 20
+TRIE_BYTES = 8 << 20
 
 
 class Node:
@@ -45,10 +45,10 @@ def common_prefix(a: bytes, b: bytes, at: int) -> int:
 
 
 class RadixTrie:
-    """Compressed trie over byte strings; ``size`` is the bytes on its edges."""
+    """Compressed trie over byte strings; ``size`` is the bytes on its edges, ``weight`` by first byte."""
 
     def __init__(self):
-        self.root, self.size = Node(b""), 0
+        self.root, self.size, self.weight = Node(b""), 0, {}
 
     def terminal(self, key: bytes) -> Node:
         """The node where ``key`` ends, made if need be."""
@@ -58,6 +58,7 @@ class RadixTrie:
             if kid is None:
                 kid = node.kids[key[at]] = Node(key[at:])
                 self.size += len(kid.edge)
+                self.weight[key[0]] = self.weight.get(key[0], 0) + len(kid.edge)
                 return kid
             if key.startswith(kid.edge, at):
                 node, at = kid, at + len(kid.edge)
@@ -73,10 +74,12 @@ class RadixTrie:
     def pop(self, first: int | None = None) -> Iterator[tuple[bytes, object]]:
         """Take out the subtree under a first byte (None: the whole trie): (string, stored) pairs."""
         kids = self.root.kids
-        stack = [(b"", kids.pop(k)) for k in ([first] if first is not None else list(kids))]
+        stack = []
+        for k in [first] if first is not None else list(kids):
+            stack.append((b"", kids.pop(k)))
+            self.size -= self.weight.pop(k)
         while stack:
             prefix, node = stack.pop()
-            self.size -= len(node.edge)
             key = prefix + node.edge
             if node.terminal is not None:
                 yield key, node.terminal
@@ -84,14 +87,7 @@ class RadixTrie:
 
     def largest(self) -> int:
         """First byte of the heaviest subtree."""
-        def weight(node):
-            total, stack = 0, [node]
-            while stack:
-                x = stack.pop()
-                total += len(x.edge)
-                stack += x.kids.values()
-            return total
-        return max(self.root.kids, key=lambda k: weight(self.root.kids[k]))
+        return max(self.weight, key=self.weight.get)
 
 
 HEAD = ">Qq"  # content hash and length lead every key: subtrees are dealt by them
@@ -141,7 +137,7 @@ def local_tries(keep: str, trie_bytes: int):
                             ("text_sha256", pa.string()), ("n", pa.int32()), ("h", pa.int64()),
                             ("text", pa.binary()), ("rows", pa.int64()), ("best_id", pa.int64()),
                             ("best_seq", pa.int64())])
-        for batch in batches:
+        for batch in slices(batches):
             ids, sha, n, h, text = (batch.column(i) for i in range(5))
             members = []
             for i in range(batch.num_rows):
@@ -157,7 +153,7 @@ def local_tries(keep: str, trie_bytes: int):
                 members.append((doc, seq, node.terminal[0], sha[i].as_py(), None, None, None, None, None, None))
                 seq += 1
                 if trie.size > trie_bytes:
-                    yield from owners(list(trie.pop(trie.largest())))
+                    yield from owners(trie.pop(trie.largest()))
             if members:
                 yield table(members)
         yield from owners(trie.pop())
@@ -182,7 +178,7 @@ def owner_tries(keep: str):
                 [pa.array(x, pa.int64()) for x in (rep, keep_id, keep_seq, size)],
                 names=["rep", "keep_id", "keep_seq", "group_size"])
 
-        for batch in batches:
+        for batch in slices(batches):
             rep, n, h, text, rows, best_id, best_seq = (batch.column(i) for i in range(7))
             for i in range(batch.num_rows):
                 head = (h[i].as_py(), n[i].as_py())
