@@ -53,11 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
-    ids = sentencepiece_codec.encode_texts(docs, PIECES, keep=("doc_id", "lang", "source", "text"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return (sentencepiece_codec.decode_ids(ids, PIECES)
+    marked = docs.withColumn("__sha", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    return (sentencepiece_codec.encode_texts(marked, PIECES, keep=("doc_id", "lang", "source", "__sha"), decoded=True)
             .select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"),
-                    (F.col("decoded") == text).alias("exact")))
+                    (F.sha2("decoded", 256) == F.col("__sha")).alias("exact")))
 
 
 STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("SimHash near-dedup", drop_near_copies),

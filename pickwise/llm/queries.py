@@ -131,8 +131,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids (their number and digest) and whether they decode to its text."""
     docs = load(spark, sf_dir, "documents").withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    ids = sentencepiece_codec.encode_texts(docs, PIECES, keep=("doc_id", "sha"))
-    return (sentencepiece_codec.decode_ids(ids, PIECES)
+    return (sentencepiece_codec.encode_texts(docs, PIECES, keep=("doc_id", "sha"), decoded=True)
             .select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                     F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                     F.sha2("decoded", 256).alias("decoded_sha256"), "sha")

@@ -383,8 +383,10 @@ def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
     return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
-def encode_texts(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+def encode_texts(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id", "text"),
+                 decoded: bool = False) -> DataFrame:
     """``keep`` columns and ids (array of int) of every row; a null or empty text has no ids.
+    With ``decoded`` also the text that the ids decode to, by the same tasks.
 
     Repeated rows all return; other columns are dropped.  The vocabulary is sent to
     every task; its size does not depend on the data.
@@ -398,10 +400,15 @@ def encode_texts(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",
             runs = encoder.encode_all([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
             offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in runs])))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(runs), "<i4")))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*keep, "ids"])
+            columns, names = [*batch.columns[:-1], ids], [*keep, "ids"]
+            if decoded:
+                columns.append(pa.array([decode(np.frombuffer(r, "<i4").tolist(), paths.value.vocabulary) for r in runs], pa.string()))
+                names.append("decoded")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{schema}, ids array<int>")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(
+        run, f"{schema}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode_ids(encoded: DataFrame, model: str) -> DataFrame:

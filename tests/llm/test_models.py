@@ -71,6 +71,7 @@ def test_codec_round_trip(spark, clash):
     df, data = odd_documents(spark, clash)
     back = codec.decode_ids(codec.encode_texts(df, PIECES), PIECES)
     assert rows(back, "doc_id", "decoded") == sorted([(d, t or "") for d, t in data], key=repr)
+    assert rows(codec.encode_texts(df, PIECES, decoded=True)) == rows(back)
     assert codec.encode_texts(spark.createDataFrame([], SCHEMA), PIECES).collect() == []
 
 
