@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pickwise.llm.common import in_blocks, written
 from pickwise.llm.sentencepiece_codec import BLANK, LITERAL, PieceIndex, Vocabulary, by_length, read_vocabulary
 
-BLOCK_ROWS = 1000
+BLOCK_ROWS = 3000
 #: what the vocabulary's own scores count for, in pieces
 PRIOR = 10_000.0
 #: words of fewer characters are summed many at a time
