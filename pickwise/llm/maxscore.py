@@ -2,10 +2,10 @@
 
 A vector's dimensions are its terms, with integer weights.  A shard of candidates
 keeps, per dimension, the range of its values, which bounds what a query's term can
-add.  Terms go in order of that spread: the essential ones are scored for every
-candidate; the others, whose bounds together cannot lift a candidate over the k-th
-score found so far, are probed one by one for the candidates that still compete.
-Shards run apart; their best lists are merged.
+add.  A threshold is taken once per query and shard, from the whole scores of a few
+candidates.  Terms go eight at a time in order of that spread, the first eight over every
+candidate; a candidate whose score so far and bound on the rest stay under the threshold
+leaves.  Shards run apart; their best lists are merged.
 """
 
 from __future__ import annotations
@@ -22,17 +22,16 @@ SHARD, QUERY_BLOCK = 8192, 1024
 
 
 def quantised(vectors: DataFrame, factor: int = 1024) -> DataFrame:
-    """(vec_id, v): v holds floor(factor * x) of each component, one row per id.
+    """(vec_id, v): v holds floor(factor * x) of each component, for every row.
 
-    Vectors that are null or hold null or non-finite components are left out; of rows
-    that share an id, the greatest whole vector stays; rows without id take no part.
+    Vectors that are null or hold null or non-finite components are left out; rows that
+    share an id are candidates (and queries) of their own; rows without id take no part.
     """
     x = F.transform("embedding", lambda c: c.cast("double"))
     fine = (F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
             & ~F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))))
     return (vectors.select(F.col("vec_id").cast("long"), "embedding", x.alias("x")).filter(fine)
-            .select("vec_id", F.transform("x", lambda c: F.floor(factor * c).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.max("v").alias("v")))
+            .select("vec_id", F.transform("x", lambda c: F.floor(factor * c).cast("long")).alias("v")))
 
 
 def packed(rows: DataFrame, block: str) -> DataFrame:
@@ -114,7 +113,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHAR
           query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best candidates, ties to the smaller id.
 
-    Both tables are ``quantised`` (vec_id, v).  A query never finds its own id.  Fewer
+    Both tables are ``quantised`` (vec_id, v).  A query never finds its own id; the
+    rows of an id asked more than once share one list of k.  Fewer
     candidates than k give all of them; vectors of other lengths count as ended by
     zeros; empty tables give an empty result.  Every block of queries meets every
     shard, a packed matrix a row; no task holds more than one of each.

@@ -129,3 +129,11 @@ def test_url_filter(spark):
     assert url_filter.evaluate(df.limit(0), log).collect() == []
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_maxscore_keeps_every_row_of_an_id(spark):
+    """Rows that share an id compete apart, as in the query's SQL."""
+    table = spark.createDataFrame([(100, [1.0, 1.0]), (1, [2.0, 0.0]), (1, [0.0, 3.0]), (1, [0.0, 3.0]), (2, [1.0, 0.0])],
+                                  "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id, r.score) for r in maxscore.search(table, k=4).orderBy("rank").collect()]
+    assert got == [(1, 1, 3 << 20), (2, 1, 3 << 20), (3, 1, 2 << 20), (4, 2, 1 << 20)]
