@@ -1,11 +1,12 @@
-"""Suffix-array dedup: sampled splitters, local multikey quicksort, neighbours compared.
+"""Suffix dedup: sampled splitters, local multikey sort of the windows by hashes.
 
 Suffixes are taken where a window starts whose anchor occurs again.  Splitters sampled
-from a few documents cut the order of the suffixes' leading bytes into ranges; a range
-takes all records whose anchors lie in it and sorts their suffixes by one gram after the
-other, going on only with those still tied.  A window is repeated if its neighbour in
-that order begins with the same window.  A splitter is a whole leading gram, so equal
-windows always lie on one side of it and no neighbour has to be sought across it.
+from a few documents cut the order of the bytes at the anchors into ranges; a range takes
+all records whose anchors lie in it.  Inside it windows are tied by anchor hash and place
+first, then by the hash of one gram after the other, going on only with those still tied;
+the order is by these hashes, not by the suffixes' bytes.  A window is repeated if
+another stays tied with it.  Equal windows have equal anchors at equal places, so they
+always lie in one range and nothing has to be sought across a splitter.
 """
 
 from __future__ import annotations
@@ -63,12 +64,17 @@ def leading(content: bytes, at: int, key: int) -> bytes:
     return content[at:at + 16].ljust(16, b"\0") + key.to_bytes(8, "big")
 
 
+def sampled(docs: DataFrame, rows: int, sample_docs: int) -> DataFrame:
+    """About ``sample_docs`` of ``rows`` documents, a fraction by hash of id and text, so that
+    documents without id are sampled like the others."""
+    part = 1_000_000 if rows <= sample_docs else max(1, 1_000_000 * sample_docs // rows)
+    return docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < part)
+
+
 def sampled_splitters(docs: DataFrame, kind: Kind, rows: int, sample_docs: int = SAMPLE_DOCS) -> Callable:
     """Rule that deals records into ranges of suffix order, cut by splitters from about
-    ``sample_docs`` documents (a fraction by id hash), every fourth anchor of each."""
-    part = 1_000_000 if rows <= sample_docs else max(1, 1_000_000 * sample_docs // rows)
-    some = (docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < part)
-            .select(F.coalesce("text", F.lit("")).cast("binary").alias("text")))
+    ``sample_docs`` documents (``sampled``), every fourth anchor of each."""
+    some = sampled(docs, rows, sample_docs).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
     def sample(batches):
         for batch in batches:

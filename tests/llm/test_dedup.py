@@ -190,3 +190,9 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(900, 901), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(301)}, 900: 900, 901: 900}
+
+
+def test_suffix_sample_is_bounded_without_ids(spark):
+    """Documents without id are sampled by their text, not all taken."""
+    df = documents(spark, [f"text {i}" for i in range(1000)], [None] * 1000)
+    assert 10 <= suffix_dedup.sampled(df, 1000, 50).count() <= 150
