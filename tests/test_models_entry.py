@@ -110,3 +110,23 @@ def test_entry_and_queries_smoke(spark):
     assert set(sqls) <= set(qs) and len(qs) >= 60
     for name in ("s2_interactions", "c1_item_cosine", "q1_sessions"):
         assert qs[name](spark, SF001).count() > 0
+
+
+def test_als_similar_recall_on_sf01_factors(spark):
+    """C12 goes through T9: it finds 0.9 of T8's neighbours of the sf0.1 item factors."""
+    import numpy as np
+    from pickwise.sources import tables as src
+    inter = src.interactions(spark, "/root/testdata/sf0.1")
+    model = md.als(inter, rating_col="w", implicit=True, rank=10, reg=0.1, iters=10)
+    rows = sorted((r.id, r.features) for r in model.itemFactors.collect())
+    m = np.array([v for _, v in rows], np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    ids = np.array([i for i, _ in rows])
+    got = {}
+    for r in md.als_similar(model, 10).collect():
+        got.setdefault(r.id, set()).add(r.other)
+    some = np.arange(0, len(ids), 20)
+    cos = m[some] @ m.T
+    cos[np.arange(len(some)), some] = -2.0
+    near = ids[np.argsort(-np.floor(cos * 1e6 + 0.5), axis=1, kind="stable")[:, :10]]
+    assert sum(len(got.get(int(ids[i]), set()) & set(n.tolist())) for i, n in zip(some, near)) >= 0.9 * near.size
