@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import (exact_dedup, lattice_lm, maxscore, mixing, sentencepiece_codec, simhash,
-                          substring_dedup, suffix_dedup, toxicity, url_filter)
+from pickwise.llm import (exact_dedup, hard_negatives, lattice_lm, maxscore, mixing, periodic, sentencepiece_codec,
+                          simhash, substring_dedup, suffix_dedup, token_blocks, toxicity, url_filter)
 from pickwise.sources import load
 
 QUERIES, ORACLES = {}, {}
@@ -194,3 +194,86 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = captures(spark, sf_dir)
     return (url_filter.evaluate(pages, dated_entries(pages))
             .withColumn("fetched_at", F.unix_timestamp("fetched_at")))
+
+
+@query("op11_token_blocks")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as they stand in the written files: their place, number and crc32."""
+    import public_tokenizers
+    return token_blocks.token_file_digests(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by crc32 of the id, the words from a place on repeat themselves."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, h = F.size("w").cast("long"), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = g % n
+    period = F.floor((n - F.col("a")) / (3 + g % 8)) + 1
+    at = lambda i: F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))
+    changed = F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")),
+                       F.transform(F.sequence(F.col("a"), n - 1), at))
+    planted = (h % 10 == 0) & (F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0)
+    plain = docs.select("doc_id", "text").filter(~F.coalesce(planted, F.lit(False)))
+    made = (docs.select("doc_id", "text").filter(planted).withColumn("w", words).withColumn("a", a).withColumn("p", period)
+            .select("doc_id", F.array_join(changed, " ").alias("text")))
+    return plain.union(made)
+
+
+@query("op12_periodic_runs", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  doc_id::VARCHAR AS s FROM documents),
+h AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(8 * length(s)),
+                    lambda k: ((ascii(s[k // 8 + 1]) >> (k % 8)::INTEGER) & 1)::BIGINT)),
+                    lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END))) AS h FROM d),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM h),
+p AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM a),
+t AS (SELECT r, doc_id, CASE WHEN a IS NULL THEN w ELSE
+        list_transform(range(len(w)), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) END AS w FROM p),
+i AS (SELECT r, unnest(range(len(w) - 5)) AS i, w FROM t WHERE len(w) >= 6),
+x AS (SELECT r, i, md5(array_to_string(w[i + 1:i + 6], ' ')) AS x FROM i),
+j AS (SELECT x.r, x.i, y.i - x.i AS q FROM x JOIN x y ON x.r = y.r AND x.x = y.x AND x.i < y.i),
+g AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM j),
+m AS (SELECT r, q, min(i) AS start, count(*) + 5 + q AS length FROM g GROUP BY r, q, g),
+n AS (SELECT r, start, length::BIGINT AS length, min(q) AS period FROM m WHERE length >= greatest(12, 2 * q) GROUP BY r, start, length),
+b AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs,
+             min(struct_pack(l := -length, s := start, q := period)) AS best FROM n GROUP BY r),
+z AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM n),
+k AS (SELECT e.r, string_agg(e.w[e.i + 1], ' ' ORDER BY e.i) AS kept
+      FROM (SELECT r, w, unnest(range(len(w))) AS i FROM t) e ANTI JOIN z ON z.r = e.r AND z.i = e.i GROUP BY e.r)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length, best.q AS period,
+       (1000 * -best.l) // best.q AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN b USING (r) LEFT JOIN k USING (r)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs: the longest, and digests of all and of what is left without their repeats."""
+    found = periodic.periodic_runs(with_planted_runs(load(spark, sf_dir, "documents")), least=12)
+    best = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return (found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.col1")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.col1") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+@query("op13_hard_negatives", r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+             coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector and each of its best positives."""
+    return hard_negatives.hard_negatives(load(spark, sf_dir, "embeddings"))
