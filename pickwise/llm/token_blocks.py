@@ -26,6 +26,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -316,69 +317,100 @@ class TokenBlocks(DataSource):
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: blanks of other kinds join the runs that the tokenizer sees; such texts are encoded whole
 OTHER_BLANK = re.compile(r"[^\S \n]")
-#: letters, then points at the end of a chunk: two pretokens or more, cut between them
-ENDED = re.compile(r"([ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]+)")
+LETTERS, POINTS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+#: letters, then points up to a chunk's end: two pretokens or more, cut between them
+ENDED = re.compile(rf"([ \n]*[{LETTERS}]+)([{POINTS}]+)")
+#: a chunk that is one pretoken
+ONE = re.compile(rf" ?[{LETTERS}]+|[{POINTS}]+")
+CALL_CHARS = 1 << 20  # characters of texts cut at a time
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it can be
+    printed, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)}
 
 
 class Encoder:
     """``encode`` of the tokenizers library, its results kept by chunk of a text.
 
     The ids of a text are those of its chunks, as the byte-level pattern cuts there anyway.
-    Two generations of ``keep`` chunks at most are held.
+    Two generations of ``keep`` chunks at most are held.  A chunk that is one pretoken goes to
+    the library without its pattern, as the characters that stand for its bytes.
     """
 
-    def __init__(self, path: str, keep: int = 250_000):
+    def __init__(self, path: str, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task to a core
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.by_chunk = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) == {
-            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} \
-            and self.tokenizer.normalizer is None
+        self.tokenizer, self.one = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tokenizer, self.one):
+            t.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.by_chunk = (self.tokenizer.normalizer is None
+                         and json.loads(self.tokenizer.pre_tokenizer.__getstate__()) == BYTE_LEVEL)
+        self.one.pre_tokenizer = None
+        self.table = byte_characters()
         self.keep, self.new, self.old = keep, {}, {}
 
+    @staticmethod
+    def ids(tokenizer, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return self.ids(self.tokenizer, texts)
+
+    def pretokens(self, chunks: list[str]) -> list[bytes]:
+        shown = "\n".join(chunks).encode().decode("latin-1").translate(self.table)
+        return self.ids(self.one, shown.split(self.table[10]))
 
     def learn(self, chunks: set[str]) -> None:
         new, old = self.new, self.old
-        missing, ended = {}, []
-        for chunk in chunks:
-            if chunk not in new:
-                ids = old.get(chunk)
-                if ids is not None:
-                    new[chunk] = ids
-                    continue
-                cut = ENDED.fullmatch(chunk)
-                if cut is None:
-                    missing[chunk] = None
-                else:
-                    ended.append((chunk, *cut.groups()))
-                    for part in cut.groups():
-                        if part not in new:
-                            ids = old.get(part)
-                            if ids is not None:
-                                new[part] = ids
-                            else:
-                                missing[part] = None
-        missing = list(missing)
-        for k in range(0, len(missing), 4096):
-            some = missing[k:k + 4096]
-            new.update(zip(some, self.whole(some)))
+        one, other, ended = {}, [], []
+        for chunk in chunks.difference(new):
+            ids = old.get(chunk)
+            if ids is not None:
+                new[chunk] = ids
+            elif ONE.fullmatch(chunk):
+                one[chunk] = None
+            elif (cut := ENDED.fullmatch(chunk)) is None:
+                other.append(chunk)
+            else:
+                ended.append((chunk, *cut.groups()))
+        for part in {p for e in ended for p in e[1:]}.difference(new):
+            ids = old.get(part)
+            if ids is not None:
+                new[part] = ids
+            elif ONE.fullmatch(part):
+                one[part] = None
+            else:
+                other.append(part)
+        for some, how in ((list(one), self.pretokens), (other, self.whole)):
+            for k in range(0, len(some), 4096):
+                new.update(zip(some[k:k + 4096], how(some[k:k + 4096])))
         for chunk, letters, points in ended:
             new[chunk] = new[letters] + new[points]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32."""
+        """The ids of each text as uint32 of the machine's order."""
         if not self.by_chunk:
             return self.whole(texts)
-        cut = [None if OTHER_BLANK.search(t) else CHUNK.findall(t) for t in texts]
-        self.learn(set().union(*[c for c in cut if c is not None]))
-        new = self.new
-        out = [self.whole([t])[0] if c is None else b"".join([new[x] for x in c]) for t, c in zip(texts, cut)]
-        if len(new) > self.keep:
-            self.old, self.new = new, {}
+        out: list[bytes] = []
+        cut: list = []
+        held = 0
+        for i, text in enumerate(texts):
+            cut.append(None if OTHER_BLANK.search(text) else CHUNK.findall(text))
+            held += len(text)
+            if held < CALL_CHARS and i + 1 < len(texts):
+                continue
+            self.learn(set().union(*[c for c in cut if c is not None]))
+            ids = self.new.__getitem__
+            out += [self.whole([t])[0] if c is None else b"".join(map(ids, c))
+                    for t, c in zip(texts[len(out):i + 1], cut)]
+            cut, held = [], 0
+            if len(self.new) > self.keep:
+                self.old, self.new = self.new, {}
         return out
 
 
@@ -397,7 +429,7 @@ def encode(path: str, end_id: int | None):
 
     def run(batches):
         own = encoder(path)
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 1024):
             ids = [x + end for x in own.encode(batch.column(1).to_pylist())]
             cuts = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
