@@ -32,7 +32,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
@@ -319,12 +318,10 @@ class TokenBlocks(DataSource):
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: blanks of other kinds join the runs that the tokenizer sees; such texts are encoded whole
 OTHER_BLANK = re.compile(r"[^\S \n]")
-#: where a long text may be cut in pieces: before such a run
-CUT = re.compile(r"[^ \n](?=[ \n])")
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: marks that make one pretoken together and none with letters or digits before them
 POINTS = string.punctuation.replace("'", "")
-CALL_CHARS = 1 << 23  # characters of texts encoded together
+LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+CALL_CHARS = 1 << 21  # characters of texts cut at a time
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 
@@ -336,51 +333,15 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)}
 
 
-def pieces(text: str, most: int = 1 << 20):
-    """A long text in pieces that are cut before a run of blanks."""
-    at = 0
-    while len(text) - at > most:
-        cut = CUT.search(text, at + most)
-        if cut is None:
-            break
-        yield text[at:cut.end()]
-        at = cut.end()
-    yield text[at:] if at else text
-
-
-class Lists:
-    """Lists of ids, one after the other."""
-
-    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
-        self.flat, self.sizes = flat, sizes
-        self.first = np.cumsum(sizes) - sizes
-
-    def take(self, which: np.ndarray) -> Lists:
-        sizes = self.sizes[which]
-        at = np.repeat(self.first[which] - (np.cumsum(sizes) - sizes), sizes)
-        at += np.arange(len(at))
-        return Lists(self.flat[at], sizes)
-
-    def merged(self, groups: np.ndarray) -> Lists:
-        """Neighbouring lists as one, so many to each group."""
-        ends = np.concatenate(([0], np.cumsum(self.sizes)))
-        cut = np.concatenate(([0], np.cumsum(groups)))
-        return Lists(self.flat, ends[cut[1:]] - ends[cut[:-1]])
-
-    @classmethod
-    def joined(cls, parts: list[Lists]) -> Lists:
-        return cls(np.concatenate([p.flat for p in parts]), np.concatenate([p.sizes for p in parts]))
-
-
 class Encoder:
-    """``encode`` of the tokenizers library, each distinct chunk of the texts of a call once.
+    """``encode`` of the tokenizers library, its results kept by chunk of a text.
 
     The ids of a text are those of its chunks, as the byte-level pattern cuts there anyway.
-    Marks at a chunk's end are cut off for the same reason.  A part that is one pretoken goes
-    to the library without its pattern, as the characters that stand for its bytes.
+    Two generations of ``keep`` chunks at most are held.  A chunk that is one pretoken goes to
+    the library without its pattern, as the characters that stand for its bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task to a core
         from tokenizers import Tokenizer
         self.tokenizer, self.one = Tokenizer.from_file(path), Tokenizer.from_file(path)
@@ -390,113 +351,90 @@ class Encoder:
                          and json.loads(self.tokenizer.pre_tokenizer.__getstate__()) == BYTE_LEVEL)
         self.one.pre_tokenizer = None
         self.table = byte_characters()
+        self.keep, self.new, self.old = keep, {}, {}
 
     @staticmethod
-    def lists(tokenizer, texts: list[str]) -> Lists:
-        flat, sizes = array("I"), []
-        for k in range(0, len(texts), 4096):
-            for e in tokenizer.encode_batch_fast(texts[k:k + 4096], add_special_tokens=False):
-                ids = e.ids
-                sizes.append(len(ids))
-                flat.extend(ids)
-        return Lists(np.frombuffer(flat, np.uint32) if flat else np.zeros(0, np.uint32), np.array(sizes, np.int64))
-
-    def whole(self, texts: list[str]) -> Lists:
-        return self.lists(self.tokenizer, texts)
-
-    def pretokens(self, parts: list[str]) -> Lists:
-        if not parts:
-            return self.lists(self.one, parts)
-        shown = "\n".join(parts).encode().decode("latin-1").translate(self.table)  # no part holds a line end
-        return self.lists(self.one, shown.split(self.table[10]))
-
-    def distinct(self, chunks: pa.Array) -> Lists:
-        """The ids of distinct chunks: of what is left without marks at the end, and of the marks."""
-        stem = pc.utf8_rtrim(chunks, POINTS)
-        cut = pc.and_(pc.not_equal(stem, chunks), pc.match_substring_regex(stem, f"[0-9{LETTERS}]$"))
-        stem = pc.if_else(cut, stem, chunks)
-        sizes = pc.utf8_length(stem.filter(cut)).to_pylist()
-        marks = pa.array([c[n:] for c, n in zip(chunks.filter(cut).to_pylist(), sizes)], pa.string())
-        parts = pa.concat_arrays([stem, marks]).dictionary_encode()
-        every = parts.dictionary
-        one = pc.or_(pc.match_substring_regex(every, f"^ ?[{LETTERS}]+$"),
-                     pc.equal(pc.utf8_trim(every, POINTS), "")).to_numpy(zero_copy_only=False)
-        order = np.concatenate((np.flatnonzero(one), np.flatnonzero(~one)))
-        lists = Lists.joined([self.pretokens(every.filter(pa.array(one)).to_pylist()),
-                              self.whole(every.filter(pa.array(~one)).to_pylist())])
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        of = place[parts.indices.to_numpy()]
-        # a chunk's stem, then its marks
-        cut = cut.to_numpy(zero_copy_only=False)
-        both = np.empty(len(of), np.int64)
-        at = np.cumsum(1 + cut) - (1 + cut)
-        both[at] = of[:len(chunks)]
-        both[at[cut] + 1] = of[len(chunks):]
-        return lists.take(both).merged(1 + cut)
-
-    def encode(self, texts: list[str]) -> Lists:
-        """The ids of each text; the texts of a call are held as chunks together."""
-        if not texts:
-            return Lists(np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    def ids(tokenizer, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return self.ids(self.tokenizer, texts)
+
+    def pretokens(self, chunks: list[str]) -> list[bytes]:
+        shown = "\n".join(chunks).encode().decode("latin-1").translate(self.table)
+        return self.ids(self.one, shown.split(self.table[10]))
+
+    def learn(self, chunks: set[str]) -> None:
+        """Ids of all chunks into ``new``; a chunk that ends in marks is put together from its parts."""
+        new, old = self.new, self.old
+        ended, missing = [], set()
+        for chunk in chunks.difference(new):
+            ids = old.get(chunk)
+            if ids is not None:
+                new[chunk] = ids
+                continue
+            part = chunk.rstrip(POINTS)
+            if part != chunk and part[-1:].isascii() and part[-1:].isalnum():
+                ended.append((chunk, part, chunk[len(part):]))
+            else:
+                missing.add(chunk)
+        for part in {p for e in ended for p in e[1:]}.difference(new):
+            ids = old.get(part)
+            if ids is None:
+                missing.add(part)
+            else:
+                new[part] = ids
+        one, other = [], []
+        for part in missing:
+            (one if LATIN.fullmatch(part) or not part.strip(POINTS) else other).append(part)
+        for some, how in ((one, self.pretokens), (other, self.whole)):
+            for k in range(0, len(some), 4096):
+                new.update(zip(some[k:k + 4096], how(some[k:k + 4096])))
+        for chunk, part, points in ended:
+            new[chunk] = new[part] + new[points]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as uint32 of the machine's order."""
         if not self.by_chunk:
             return self.whole(texts)
-        arrays, counts, some, odd = [], [], [], []
+        out: list[bytes] = []
+        cut: list = []
+        held = 0
         for i, text in enumerate(texts):
-            counts.append(0)
-            if OTHER_BLANK.search(text):
-                odd.append(i)
+            cut.append(None if OTHER_BLANK.search(text) else CHUNK.findall(text))
+            held += len(text)
+            if held < CALL_CHARS and i + 1 < len(texts):
                 continue
-            for piece in pieces(text):
-                chunks = CHUNK.findall(piece)
-                counts[-1] += len(chunks)
-                some += chunks
-                if len(some) >= 1 << 16:
-                    arrays.append(pa.array(some, pa.string()))
-                    some = []
-        if some:
-            arrays.append(pa.array(some, pa.string()))
-        if arrays:
-            codes = pa.chunked_array(arrays).combine_chunks().dictionary_encode()
-            out = self.distinct(codes.dictionary).take(codes.indices.to_numpy()).merged(np.array(counts))
-        else:
-            out = Lists(np.zeros(0, np.uint32), np.zeros(len(texts), np.int64))
-        if odd:  # encoded whole, in their places
-            place = np.arange(len(texts))
-            place[odd] = len(texts) + np.arange(len(odd))
-            out = Lists.joined([out, self.whole([texts[i] for i in odd])]).take(place)
+            self.learn(set().union(*[c for c in cut if c is not None]))
+            ids = self.new.__getitem__
+            out += [self.whole([t])[0] if c is None else b"".join(map(ids, c))
+                    for t, c in zip(texts[len(out):i + 1], cut)]
+            cut, held = [], 0
+            if len(self.new) > self.keep:
+                self.old, self.new = self.new, {}
         return out
 
 
-def groups_of(texts: list[str]):
-    """Neighbouring texts of about ``CALL_CHARS`` characters together."""
-    held, first = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= CALL_CHARS:
-            yield texts[first:i + 1]
-            held, first = 0, i + 1
-    if first < len(texts):
-        yield texts[first:]
+ENCODERS: dict[str, Encoder] = {}  # one to a Python worker: its chunks serve later tasks too
+
+
+def encoder(path: str) -> Encoder:
+    if path not in ENCODERS:
+        ENCODERS[path] = Encoder(path)
+    return ENCODERS[path]
 
 
 def encode(path: str, end_id: int | None):
     """mapInArrow function from (doc_id, text) to (doc_id, ids)."""
+    end = b"" if end_id is None else struct.pack("<I", end_id)
+
     def run(batches):
-        own = Encoder(path)
-        for batch in batches:
-            at = 0
-            for texts in groups_of(batch.column(1).to_pylist()):
-                lists = own.encode(texts)
-                if end_id is not None:
-                    ends = Lists(np.full(len(texts), end_id, np.uint32), np.ones(len(texts), np.int64))
-                    turn = np.stack((np.arange(len(texts)), len(texts) + np.arange(len(texts))), axis=1).ravel()
-                    lists = Lists.joined([lists, ends]).take(turn).merged(np.full(len(texts), 2))
-                cuts = np.concatenate(([0], np.cumsum(lists.sizes))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(texts)),
-                    pa.ListArray.from_arrays(cuts, pa.array(lists.flat.view(np.int32)))], names=["doc_id", "ids"])
-                at += len(texts)
+        own = encoder(path)
+        for batch in slices(batches, 1024):
+            ids = [x + end for x in own.encode(batch.column(1).to_pylist())]
+            cuts = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(cuts, values)], names=["doc_id", "ids"])
     return run
 
 

@@ -61,21 +61,11 @@ def test_encoder_is_the_library():
     bits = [" ", "  ", "\n", "\n\n", "\t", "\xa0", " ", "\x1c", "the", "The", "été", "don't", "'s", "!!", "...", "a.", "42", "٣", "中文",
             "🙂", "<|endoftext|>", "_", "\r\n", "x" * 50, "é,", "Wort;", "\x00"]
     texts = ["", " ", "\n", " \n ", "a", "a ", " a", "a\n"] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 30))) for _ in range(800)]
-    own = token_blocks.Encoder(BPE)
+    own = token_blocks.Encoder(BPE, keep=50)  # generations change all the time
     for step in (1, 9, len(texts)):
         for k in range(0, len(texts), step):
-            lists = own.encode(texts[k:k + step])
-            for text, a, n in zip(texts[k:k + step], lists.first.tolist(), lists.sizes.tolist()):
-                assert lists.flat[a:a + n].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
-
-
-def test_long_texts_are_cut_where_nothing_changes():
-    text = "".join(random.Random(5).choice([" ", "  ", "\n", "ab", "c.", "é!", "\n\n"]) for _ in range(3000))
-    for most in (1, 7, 100, 10**6):
-        parts = list(token_blocks.pieces(text, most))
-        assert "".join(parts) == text
-        assert [c for p in parts for c in token_blocks.CHUNK.findall(p)] == token_blocks.CHUNK.findall(text)
-    assert [len(g) for g in token_blocks.groups_of(["x" * 10] * 5)] == [5]
+            for text, ids in zip(texts[k:k + step], own.encode(texts[k:k + step])):
+                assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def expected_tokens(data):
