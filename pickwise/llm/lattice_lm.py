@@ -25,8 +25,10 @@ from pickwise.llm.sentencepiece_codec import BLANK, LITERAL, PieceIndex, Vocabul
 BLOCK_ROWS = 3000
 #: what the vocabulary's own scores count for, in pieces
 PRIOR = 10_000.0
-#: words of fewer characters are summed many at a time
+#: words of fewer characters are summed many at a time, longer ones alone
 LONG = 64
+#: characters of a long word whose sums are held at once when learning
+WINDOW = 1 << 16
 
 
 @dataclass
@@ -87,6 +89,7 @@ class Edges:
         self.lattice = lattice
         self.index = PieceIndex(lattice.log_p, lattice.longest)
         self.names = self.index.names
+        self.number = {name: i for i, name in enumerate(self.names)}
         self.log_p = np.array([lattice.log_p[n] for n in self.names])
         self.bytes: dict[int, float] = {}
 
@@ -123,18 +126,13 @@ class Edges:
         return out
 
     def expected(self, words: list[str], weights: np.ndarray, pieces: np.ndarray, in_bytes_of: dict[int, float]) -> None:
-        """Add how often each piece, and each character in bytes, is expected in the words.
-
-        The few words over the length that is batched count with the piece sums of their
-        parts of that length.
-        """
-        short, weight = [], []
-        for w, c in zip(words, weights.tolist()):
-            for k in range(0, max(1, len(w)), LONG - 1):
-                short.append(w[k:k + LONG - 1])
-                weight.append(c)
-        weight = np.array(weight)
-        for rows, codes in by_length([stream_of(w) for w in short]):
+        """Add how often each piece, and each character in bytes, is expected in the words, all of them whole."""
+        short = [i for i, w in enumerate(words) if len(w) < LONG]
+        for i, w in enumerate(words):
+            if len(w) >= LONG:
+                self.expected_in(stream_of(w), float(weights[i]), pieces, in_bytes_of)
+        weight = np.asarray(weights, float)[short]
+        for rows, codes in by_length([stream_of(words[i]) for i in short]):
             n = codes.shape[1]
             in_bytes = self.byte_log(codes)
             found = list(self.index.matches(codes))
@@ -154,6 +152,55 @@ class Edges:
                     todo = start
                     self._bytes_back(codes, in_bytes, alpha, beta, start, total, c, in_bytes_of)
 
+    def expected_in(self, stream: str, weight: float, pieces: np.ndarray, in_bytes_of: dict[int, float],
+                    window: int = WINDOW) -> None:
+        """``expected`` of one long stream, by windows: the sums that stand open at a window's start are kept
+        on the way forward, and the window is summed again from them on the way back."""
+        number, longest, reach, inf = self.number, self.lattice.longest, self.lattice.reach, math.inf
+        n = len(stream)
+        byte = {c: written_in_bytes(c, self.lattice) for c in set(stream)}
+
+        def edges(start):
+            """(end, log probability, piece) of every step from a boundary; bytes have no piece."""
+            yield start + 1, byte[stream[start]], None
+            for end in range(start + 1, min(n, start + longest) + 1):
+                piece = stream[start:end]
+                p = reach.get(piece, 0)
+                if p == 0:
+                    return
+                if p is not None:
+                    yield end, p, piece
+
+        def forward(lo, open_):
+            alpha = open_ + [-inf] * (min(n, lo + window) - lo)
+            for start in range(lo, min(n, lo + window)):
+                for end, p, _ in edges(start):
+                    alpha[end - lo] = log_add(alpha[end - lo], alpha[start - lo] + p)
+            return alpha
+
+        starts = range(0, n, window)
+        kept, open_ = [], [0.0] + [-inf] * longest  # sums so far to a window's start and the boundaries in reach of it
+        for lo in starts:
+            kept.append(open_)
+            alpha = forward(lo, open_)
+            open_ = alpha[min(n, lo + window) - lo:][:longest + 1]
+        total = open_[0]
+        after = [0.0] + [-inf] * longest
+        for lo, open_ in zip(reversed(starts), reversed(kept)):
+            hi = min(n, lo + window)
+            alpha, beta = forward(lo, open_), [-inf] * (hi - lo) + after
+            for start in range(hi - 1, lo - 1, -1):
+                for end, p, piece in edges(start):
+                    onward = p + beta[end - lo]
+                    beta[start - lo] = log_add(beta[start - lo], onward)
+                    share = math.exp(alpha[start - lo] + onward - total) * weight
+                    if piece is None:
+                        char = ord(stream[start])
+                        in_bytes_of[char] = in_bytes_of.get(char, 0.0) + share
+                    else:
+                        pieces[number[piece]] += share
+            after = beta[:longest + 1]
+
     @staticmethod
     def _bytes_back(codes, in_bytes, alpha, beta, start, total, c, in_bytes_of):
         share = np.exp(alpha[start] + in_bytes[:, start] + beta[start + 1] - total) * c

@@ -107,8 +107,64 @@ def test_expected_pieces_cover_every_character():
     words, pieces, chars = ["abba", "ba", "c", "é▁", "ab" * 100], np.zeros(7), {}
     edges.expected(words, np.array([1.0, 2.0, 3.0, 1.0, 1.0]), pieces, chars)
     held = sum(len(n) * c for n, c in zip(edges.names, pieces)) + sum(chars.values())
-    parts = -(-200 // (lattice_lm.LONG - 1))  # a long word is counted in parts, each with a blank
-    assert abs(held - (5 + 2 * 3 + 3 * 2 + 3 + 200 + parts)) < 1e-6
+    assert abs(held - (5 + 2 * 3 + 3 * 2 + 3 + 201)) < 1e-6  # one blank to a word, however long
+
+
+def brute_expected(stream, lat):
+    """{piece or code point: expected number} over every segmentation."""
+    found, total = Counter(), 0.0
+
+    def walk(i, p, used):
+        nonlocal total
+        if i == len(stream):
+            total += p
+            for u in used:
+                found[u] += p
+            return
+        walk(i + 1, p * math.exp(lattice_lm.written_in_bytes(stream[i], lat)), [*used, ord(stream[i])])
+        for e in range(i + 1, len(stream) + 1):
+            if stream[i:e] in lat.log_p:
+                walk(e, p * math.exp(lat.log_p[stream[i:e]]), [*used, stream[i:e]])
+    walk(0, 1.0, [])
+    return {u: x / total for u, x in found.items()}
+
+
+@pytest.mark.parametrize("long, window", [(64, 1 << 16), (0, 1 << 16), (0, 1), (0, 3), (4, 2)])
+def test_expected_pieces_are_those_of_all_segmentations(monkeypatch, long, window):
+    """Forward and backward sums, many words at once and one long word by windows, against enumeration."""
+    import numpy as np
+    monkeypatch.setattr(lattice_lm, "LONG", long)
+    whole = lattice_lm.Edges.expected_in
+    monkeypatch.setattr(lattice_lm.Edges, "expected_in", lambda self, *a: whole(self, *a, window=window))
+    lat = lattice()
+    rnd = random.Random(8)
+    words = ["", "é", "▁", "abab", *("".join(rnd.choice("abc▁") for _ in range(rnd.randint(1, 9))) for _ in range(30))]
+    weights = np.array([rnd.randint(1, 4) for _ in words])
+    edges, chars = lattice_lm.Edges(lat), {}
+    pieces = np.zeros(len(edges.names))
+    edges.expected(words, weights, pieces, chars)
+    want = Counter()
+    for w, c in zip(words, weights.tolist()):
+        for u, x in brute_expected(lattice_lm.stream_of(w), lat).items():
+            want[u] += c * x
+    got = {**{n: x for n, x in zip(edges.names, pieces.tolist()) if x}, **chars}
+    assert all(abs(got.get(u, 0.0) - want.get(u, 0.0)) < 1e-9 for u in got.keys() | want.keys())
+
+
+def test_a_word_longer_than_windows_is_learned_whole():
+    """160 letters and 114 without blanks: one blank each, the same sums for any window."""
+    import numpy as np
+    for word in ("ab" * 80, "中文" * 57):
+        found = []
+        for window in (1 << 16, 50, 7):
+            edges, chars = lattice_lm.Edges(lattice()), {}
+            pieces = np.zeros(len(edges.names))
+            edges.expected_in(lattice_lm.stream_of(word), 1.0, pieces, chars, window=window)
+            blanks = sum(n.count("▁") * c for n, c in zip(edges.names, pieces)) + chars.get(ord("▁"), 0.0)
+            assert abs(blanks - 1.0) < 1e-9
+            found.append((pieces, chars))
+        for pieces, chars in found[1:]:
+            assert np.allclose(pieces, found[0][0]) and chars.keys() == found[0][1].keys()
 
 
 def test_lm_scores(spark):
