@@ -153,19 +153,22 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dated_entries(pages: DataFrame) -> DataFrame:
     """A dated block list drawn from the pages' own hosts and addresses.
 
-    Every third host by hash is listed as a domain or a host, every seventh address as a
-    url; each is added, removed 90 days later, and added again after 60 more.
+    Every third host by hash is listed as a domain or a host, every second parent of a host of
+    three labels or more as a domain, every seventh address as a url; each is added,
+    removed 90 days later, and added again after 60 more.
     """
     host, address = url_filter.host_of(F.col("url")), url_filter.address_of(F.col("url"))
     number = lambda c: F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
     hosts = (pages.select(host.alias("pattern")).filter("pattern IS NOT NULL").distinct()
              .withColumn("n", number(F.col("pattern"))).filter("n % 3 = 0")
              .select(F.when(F.col("n") % 2 == 0, "domain").otherwise("host").alias("kind"), "pattern", "n"))
+    parents = (pages.select(F.regexp_extract(host, r"^[^.]+\.(.+\..+)$", 1).alias("pattern")).filter("pattern != ''").distinct()
+               .withColumn("n", number(F.col("pattern"))).filter("n % 2 = 0").select(F.lit("domain").alias("kind"), "pattern", "n"))
     urls = (pages.select(address.alias("pattern")).filter("pattern IS NOT NULL").distinct()
             .withColumn("n", number(F.col("pattern"))).filter("n % 7 = 0").select(F.lit("url").alias("kind"), "pattern", "n"))
     steps = F.explode(F.array(*[F.struct(F.lit(a).alias("action"), F.lit(d).alias("day"))
                                 for a, d in (("add", 0), ("remove", 90), ("add", 150))])).alias("s")
-    return (hosts.union(urls).select("kind", "pattern", "n", steps)
+    return (hosts.union(parents).union(urls).select("kind", "pattern", "n", steps)
             .select("kind", "pattern", "s.action",
                     F.timestamp_seconds(F.lit(1704067200) + (F.col("n") % 200 + F.col("s.day")) * 86400).alias("at")))
 
@@ -176,9 +179,12 @@ WITH p AS (SELECT row_number() OVER () AS seq, page_id, url,
                   nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
                   regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path FROM pages),
 h AS (SELECT DISTINCT host AS pattern, ('0x' || substr(md5(host), 1, 8))::BIGINT AS n FROM p WHERE host IS NOT NULL),
+d AS (SELECT DISTINCT regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) AS pattern FROM p WHERE host IS NOT NULL),
 u AS (SELECT DISTINCT host || path AS pattern, ('0x' || substr(md5(host || path), 1, 8))::BIGINT AS n FROM p WHERE host IS NOT NULL),
 e AS (SELECT CASE WHEN n % 2 = 0 THEN 'domain' ELSE 'host' END AS kind, pattern, n FROM h WHERE n % 3 = 0
-      UNION ALL SELECT 'url', pattern, n FROM u WHERE n % 7 = 0),
+      UNION SELECT 'domain', pattern, ('0x' || substr(md5(pattern), 1, 8))::BIGINT FROM d
+            WHERE pattern <> '' AND ('0x' || substr(md5(pattern), 1, 8))::BIGINT % 2 = 0
+      UNION SELECT 'url', pattern, n FROM u WHERE n % 7 = 0),
 v AS (SELECT kind, pattern, 1704067200 + (n % 200 + x.d) * 86400 AS f,
              CASE WHEN x.d = 0 THEN 1704067200 + (n % 200 + 90) * 86400 END AS t
       FROM e, (VALUES (0), (150)) x(d)),

@@ -13,9 +13,6 @@ from pyspark.sql import Window
 
 from pickwise.llm.common import written
 
-#: copies of the interval table, over which the captures of one hot host are dealt
-SALTS = 32
-
 
 def host_of(url):
     """Lower-case host without user and port; null without scheme and host."""
@@ -46,7 +43,7 @@ def intervals(entries: DataFrame) -> DataFrame:
             .select("kind", "pattern", F.col("at").alias("valid_from"), "valid_to"))
 
 
-def evaluate(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> DataFrame:
+def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """For every capture (page_id, url, fetched_at): those, host, n_active, first_match, blocked.
 
     A capture matches a ``domain`` entry on its host or a parent domain, a ``host`` entry
@@ -54,29 +51,29 @@ def evaluate(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> Dat
     ``first_match`` is the longest matching pattern (ties: the greater text).  A null or
     hostless url and a null fetch time match nothing.  Repeated captures all return;
     other columns are ignored; an empty list blocks nothing.
+
+    Captures are numbered and written once.  Only number, key and time meet the list: a
+    sort-merge join of two plain shuffles, so that nothing is broadcast however long the list,
+    and a host that a third of the captures share is cut by adaptive execution.
     """
-    host = host_of(F.col("url"))
-    rows = captures.select("page_id", "url", "fetched_at", host.alias("host"),
-                           address_of(F.col("url")).alias("address"), F.monotonically_increasing_id().alias("seq"))
+    rows = written(captures.select("page_id", "url", "fetched_at", host_of(F.col("url")).alias("host"),
+                                   F.monotonically_increasing_id().alias("seq")))
     parts = F.split("host", r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(parts)),
                           lambda i: F.struct(F.lit("domain").alias("kind"),
                                              F.array_join(F.slice(parts, i, F.size(parts)), ".").alias("pattern")))
     own = F.array(F.struct(F.lit("host").alias("kind"), F.col("host").alias("pattern")),
-                  F.struct(F.lit("url").alias("kind"), F.col("address").alias("pattern")))
-    keys = F.when(F.col("host").isNotNull() & F.col("fetched_at").isNotNull(), F.concat(domains, own))
-    asked = rows.select("*", F.explode_outer(keys).alias("k"), F.pmod(F.xxhash64("seq"), F.lit(salts)).alias("salt"))
-    asked = asked.select("page_id", "url", "fetched_at", "host", "seq", "salt", "k.kind", "k.pattern")
-    valid = (written(intervals(entries))
-             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))))
-    at = F.col("c.fetched_at")
-    hit = (asked.alias("c").join(valid.alias("v"), (F.col("c.kind") == F.col("v.kind"))
-                                 & (F.col("c.pattern") == F.col("v.pattern")) & (F.col("c.salt") == F.col("v.salt"))
-                                 & (F.col("v.valid_from") <= at)
-                                 & (F.col("v.valid_to").isNull() | (at < F.col("v.valid_to"))), "left"))
-    match = F.when(F.col("v.pattern").isNotNull(), F.struct(F.length("v.pattern"), F.col("v.pattern").alias("p")))
-    return (hit.groupBy("c.seq").agg(F.first("c.page_id").alias("page_id"), F.first("c.url").alias("url"),
-                                     F.first(at).alias("fetched_at"), F.first("c.host").alias("host"),
-                                     F.count("v.pattern").alias("n_active"), F.max(match)["p"].alias("first_match"))
-            .select("page_id", "url", "fetched_at", "host", "n_active", "first_match",
-                    (F.col("n_active") > 0).alias("blocked")))
+                  F.struct(F.lit("url").alias("kind"), address_of(F.col("url")).alias("pattern")))
+    asked = (rows.filter(F.col("host").isNotNull() & F.col("fetched_at").isNotNull())
+             .select("seq", "fetched_at", F.explode(F.concat(domains, own)).alias("k"))
+             .select("seq", "fetched_at", "k.kind", "k.pattern"))
+    valid = written(intervals(entries)).hint("merge")
+    hit = (asked.join(valid, ["kind", "pattern"])
+           .filter((F.col("valid_from") <= F.col("fetched_at"))
+                   & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))))
+    longest = F.max(F.struct(F.length("pattern"), F.col("pattern").alias("p")))["p"]
+    found = hit.groupBy("seq").agg(F.count(F.lit(1)).alias("n_active"), longest.alias("first_match"))
+    active = F.coalesce("n_active", F.lit(0))
+    return (rows.join(found.hint("merge"), "seq", "left")
+            .select("page_id", "url", "fetched_at", "host", active.alias("n_active"), "first_match",
+                    (active > 0).alias("blocked")))

@@ -124,11 +124,10 @@ def test_url_filter(spark):
     got = url_filter.evaluate(df, log)
     want = [(p, u, a, *brute_verdict(u, a, entries)) for p, u, a in captures]
     assert rows(got, "page_id", "url", "fetched_at", "n_active", "first_match") == sorted(want, key=repr)
-    assert rows(url_filter.evaluate(df, log, salts=1)) == rows(got)
     assert url_filter.evaluate(df, log.limit(0)).filter("blocked").count() == 0
     assert url_filter.evaluate(df.limit(0), log).collect() == []
     plan = got._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+    assert not [x for x in ("Python", "Arrow", "CartesianProduct", "BroadcastExchange") if x in plan]
 
 
 def test_maxscore_keeps_every_row_of_an_id(spark):
