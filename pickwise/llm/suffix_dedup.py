@@ -1,12 +1,14 @@
-"""Suffix dedup: sampled splitters, local multikey sort of the windows by hashes.
+"""Suffix dedup: sampled splitters, local multikey quicksort of the suffixes.
 
 Suffixes are taken where a window starts whose anchor occurs again.  Splitters sampled
-from a few documents cut the order of the bytes at the anchors into ranges; a range takes
-all records whose anchors lie in it.  Inside it windows are tied by anchor hash and place
-first, then by the hash of one gram after the other, going on only with those still tied;
-the order is by these hashes, not by the suffixes' bytes.  A window is repeated if
-another stays tied with it.  Equal windows have equal anchors at equal places, so they
-always lie in one range and nothing has to be sought across a splitter.
+from a few documents cut the order of the suffixes at the anchors, by their leading bytes,
+into ranges; a range takes all records whose anchors lie in it.  Inside it the suffixes at
+every window's start are sorted by their bytes as far as a window goes, eight bytes to a
+character, each group of ties by the next character.  A window is repeated if it equals
+one of its neighbours in that order.  A splitter is a whole key (leading bytes and
+anchor), and equal windows have equal anchors at equal places, so the last suffixes of a
+range and the first of the next never hold the same window: there is no tie to compare
+across a boundary (tested).
 """
 
 from __future__ import annotations
@@ -96,31 +98,45 @@ def sampled_splitters(docs: DataFrame, kind: Kind, rows: int, sample_docs: int =
     return deal
 
 
-def multikey_groups(keys: list[np.ndarray]) -> np.ndarray:
-    """Groups of equal rows over the key columns: sort by the first, then each tie by the next.
-    Rows that are alone get -1 and leave the sort at once."""
-    group = np.zeros(len(keys[0]), np.int64)
-    out = np.full(len(keys[0]), -1, np.int64)
-    alive = np.arange(len(keys[0]))
-    for key in keys:
-        k = key[alive]
-        order = np.lexsort((k, group))
-        k, g = k[order], group[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (k[1:] != k[:-1]) | (g[1:] != g[:-1])
-        number = np.cumsum(new) - 1
-        tied = np.bincount(number)[number] > 1
-        alive, group = alive[order][tied], number[tied]
-        if not len(alive):
-            return out
-    out[alive] = group
-    return out
+def leading_words(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as a number whose order is theirs; zeros follow the end."""
+    w = np.concatenate((raw, np.zeros(7, np.uint8))).astype(np.uint64)
+    for width in (1, 2, 4):
+        w = (w[:-width] << np.uint64(8 * width)) | w[width:]
+    return w
+
+
+def multikey_order(words: np.ndarray, begin: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, tied): the strings of ``window`` bytes at ``begin`` by their bytes, and whether each
+    in that order equals the one before.
+
+    Multikey quicksort, eight bytes to a character: all are sorted by their first character,
+    then every group of ties by the next, until a group is one string alone or at its end.
+    """
+    order = np.arange(len(begin))
+    same = np.ones(len(begin), bool)  # in the order so far: ties with the one before
+    same[:1] = False
+    steps = [*range(0, window - 8, 8), window - 8] if window >= 8 else [0]
+    shorter = np.uint64(8 * max(0, 8 - window))  # bytes beyond a window of under eight don't count
+    open_ = np.arange(len(begin))
+    for step in steps:
+        group = np.cumsum(~same[open_])
+        key = words[begin[order[open_]] + step] >> shorter
+        by = np.lexsort((key, group))
+        order[open_] = order[open_][by]
+        key, group = key[by], group[by]
+        same[open_[1:]] = (key[1:] == key[:-1]) & (group[1:] == group[:-1])
+        tied = same[open_]
+        still = tied.copy()
+        still[:-1] |= tied[1:]
+        open_ = open_[still]
+        if not len(open_):
+            break
+    return order, same
 
 
 def shard_order(window: int):
     """Decide a range's records: marks are 1 for windows that occur twice or more."""
-    gram = kind_of(window).gram
-
     def run(table: pa.Table) -> pa.Table:
         columns = [table.column(c).to_pylist() for c in ("block", "key", "anchor", "place", "n", "content")]
         distinct: dict = {}
@@ -134,14 +150,11 @@ def shard_order(window: int):
         owner = np.repeat(np.arange(len(sizes)), windows)
         cut = np.concatenate(([0], np.cumsum(windows)))
         begin = starts[owner] + np.arange(len(owner)) - cut[:-1][owner]
-        grams = byte_grams(np.frombuffer(b"".join(contents), np.uint8), gram)
-        # equal windows have the same anchor at the same place: that ties them first, then their grams in turn
-        anchors = np.array([k[0] for k in distinct], np.int64)[owner]
-        ahead = starts[owner] + np.array([k[1] for k in distinct], np.int64)[owner] - begin
-        steps = [*range(0, window - gram, gram), window - gram]
-        group = multikey_groups([anchors, ahead, *(grams[begin + s] for s in steps)])
+        # equal windows are neighbours in the order of their bytes
+        order, same = multikey_order(leading_words(np.frombuffer(b"".join(contents), np.uint8)), begin, window)
         again = times[owner] > 1
-        again |= group >= 0
+        again[order[same]] = True
+        again[order[np.flatnonzero(same) - 1]] = True
         out = [[], [], [], [], []]
         for r, ((anchor, p, content), rows) in enumerate(distinct.items()):
             mine = again[cut[r]:cut[r + 1]]
@@ -181,7 +194,7 @@ def suffix_dedup(docs: DataFrame, window: int = 200, with_text: bool = False, bl
     A byte goes if a string of ``window`` bytes over it also starts anywhere else, in the
     same text too; matches never cross texts and are judged on the input.  A null text is
     empty.  Rows that repeat id and text are two places.  All rows return; other columns
-    are ignored.  Grams are compared by 64-bit hashes.
+    are ignored.  Windows are compared by their bytes.
     """
     finish = removed_bytes(window)
     names = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}

@@ -196,3 +196,37 @@ def test_suffix_sample_is_bounded_without_ids(spark):
     """Documents without id are sampled by their text, not all taken."""
     df = documents(spark, [f"text {i}" for i in range(1000)], [None] * 1000)
     assert 10 <= suffix_dedup.sampled(df, 1000, 50).count() <= 150
+
+
+def test_multikey_order_is_the_order_of_the_bytes():
+    import numpy as np
+    rnd = random.Random(1)
+    for _ in range(150):
+        raw = bytes(rnd.choice(b"ab\x00\xff") for _ in range(rnd.randint(1, 120))) * rnd.randint(1, 3)
+        for window in (1, 3, 7, 8, 9, 16, 20):
+            if len(raw) >= window:
+                begin = np.array(rnd.sample(range(len(raw) - window + 1), rnd.randint(1, len(raw) - window + 1)))
+                order, same = suffix_dedup.multikey_order(suffix_dedup.leading_words(np.frombuffer(raw, np.uint8)), begin, window)
+                strings = [raw[begin[i]:begin[i] + window] for i in order]
+                assert strings == sorted(strings)
+                assert same.tolist() == [False, *(a == b for a, b in zip(strings, strings[1:]))]
+
+
+def test_equal_windows_never_lie_on_two_sides_of_a_splitter(spark):
+    """Records with one anchor and one window go to one range, whatever the splitters: nothing is tied across a boundary."""
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice(["aa", "ab", "ba", "bb"]) for _ in range(120)) for _ in range(40)]
+    docs = documents(spark, texts)
+    kind = suffix_dedup.kind_of(40)
+    deal = suffix_dedup.sampled_splitters(docs, kind, len(texts))(7)
+    raws = [t.encode() for t in texts]
+    units, off, raw = kind.read(raws + raws[:20])
+    from pickwise.llm.passages import runs
+    shard_of, shards = {}, set()
+    for first, last, at, h in zip(*(x.tolist() for x in runs(kind, units, off))):
+        content, place = kind.content(raw, first, last, at)
+        shard = deal(h, True, content, place)
+        shards.add(shard)
+        for w in range(first, last + 1):
+            assert shard_of.setdefault(raw[w:w + 40], shard) == shard
+    assert len(shards) > 1
