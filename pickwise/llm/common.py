@@ -37,12 +37,18 @@ def block_count(rows: int, rows_per_block: int) -> int:
     return max(1, -(-rows // rows_per_block))
 
 
+#: bytes of text that stand for a row where blocks are counted
+ROW_BYTES = 5000
+
+
 def in_blocks(docs: DataFrame, rows_per_block: int) -> DataFrame:
-    """(block, doc_id, text) with null texts as empty; a block is a hash group of documents.
+    """(block, doc_id, text) with null texts as empty; a block is a hash group of documents, of
+    ``rows_per_block`` rows or ``ROW_BYTES`` for each of them, whichever is reached first.
 
     The hash takes id and text, so rows that share an id (or have none) spread too.
     """
-    n = block_count(docs.count(), rows_per_block)
+    rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    n = max(block_count(rows, rows_per_block), block_count(size, rows_per_block * ROW_BYTES))
     d, t = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.pmod(F.xxhash64(d, t), F.lit(n)).cast("int").alias("block"),
                        d.alias("doc_id"), t.alias("text"))

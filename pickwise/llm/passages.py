@@ -254,11 +254,11 @@ def repeated(docs: DataFrame, kind: Kind, shard: Callable, finish: Callable, out
     blocks = (in_blocks(rows, block_rows)
               .select("block", F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("text").cast("binary").alias("text")))
     n_shards = block_count(rows.count(), block_rows)
-    # whole copies: small rows of id and digest, written so that a hot text can be split in the join
-    shas = written(blocks.select("block", "d", F.unhex(F.sha2("text", 256)).alias("sha")))
-    first = written(shas.groupBy("sha").agg(F.min("d").alias("first_id"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
-    copies = shas.join(first, "sha").select("block", "sha", "first_id", "rows").distinct()
-    copies = written(copies)
+    # whole copies: a digest once to a block, so that a text of a third of all rows is a row a block
+    shas = written(blocks.select("block", "d", F.unhex(F.sha2("text", 256)).alias("sha"))
+                   .groupBy("block", "sha").agg(F.min("d").alias("first_id"), F.count(F.lit(1)).alias("rows")))
+    first = written(shas.groupBy("sha").agg(F.min("first_id").alias("first_id"), F.sum("rows").alias("rows")).filter("rows > 1"))
+    copies = written(shas.select("block", "sha").join(first, "sha").select("block", "sha", "first_id", "rows"))
 
     cogroup = lambda side: blocks.groupBy("block").cogroup(side.groupBy("block"))
     counted = cogroup(copies).applyInArrow(anchors(kind), "block int, h long, n int")
