@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from pickwise.functions.scores import m6
 from pickwise.operators.pairs import DEFAULT_CHUNK, both_ways, co_pairs
+from pickwise.operators.pair_sums import SUMS, pair_sums
+from pickwise.operators.related import MOST_TERMS, set_cosines
 from pickwise.operators.rerank import exclude_seen, top_k, top_n
 from pickwise.operators.skew import loose
 
@@ -24,13 +26,18 @@ def _neighbors(directed: DataFrame, k: int | None) -> DataFrame:
 
 
 def item_cf(inter: DataFrame, k: int = 10, iuf: bool = False, min_support: int = 1,
-            chunk: int = DEFAULT_CHUNK) -> DataFrame:
+            chunk: int = DEFAULT_CHUNK, most: int = MOST_TERMS) -> DataFrame:
     """Item-item cosine on binary interactions, top k per item.
 
     C1: ``c(i,j) / sqrt(n(i) n(j))`` with ``c`` the number of shared users.
     C2 (``iuf=True``): each shared user counts ``1 / ln(1 + n(u))`` instead of 1.
+
+    C1's top k without a support limit is found in packed blocks of item vectors with a rising
+    threshold (``set_cosines``), without a row to a pair; the rest counts pairs.
     """
     base = inter.select("user_id", "item_id")
+    if k and not iuf and min_support <= 1:
+        return set_cosines(base, "item_id", "user_id", k, most).select("id", "other", "support", "score", "rank")
     n_item = base.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     # per-item counts ride along with the pairs instead of being joined to
     # the (much larger) pair aggregate twice afterwards
@@ -45,13 +52,19 @@ def item_cf(inter: DataFrame, k: int = 10, iuf: bool = False, min_support: int =
 
 
 def user_cf(inter: DataFrame, k: int = 10, metric: str = "cosine",
-            chunk: int = DEFAULT_CHUNK) -> DataFrame:
+            chunk: int = DEFAULT_CHUNK, most: int = MOST_TERMS) -> DataFrame:
     """C4: user-user similarity on binary interactions, top k per user.
 
     ``metric='cosine'``: ``c / sqrt(n(u) n(v))``; ``'jaccard'``: ``c / (n(u) + n(v) - c)``.
-    The other value is returned as ``alt`` (millionths) so both are at hand.
+    The other value is returned as ``alt`` (millionths) so both are at hand.  The top k by
+    cosine is found in packed blocks of user vectors with norm bounds and a rising threshold
+    (``set_cosines``): an item with m users makes no m^2 / 2 pairs.
     """
     base = inter.select("user_id", "item_id")
+    if k and metric == "cosine":
+        union = F.col("n") + F.col("other_n") - F.col("support")
+        return set_cosines(base, "user_id", "item_id", k, most).select(
+            "id", "other", "support", "score", m6(F.col("support") / union).alias("alt"), "rank")
     n_user = base.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     pairs = co_pairs(base.join(loose(n_user), "user_id"), "item_id", "user_id", carry=["n"], chunk=chunk)
     agg = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("support"))
@@ -94,22 +107,18 @@ def adjusted_cosine(ratings: DataFrame, k: int | None = 10, chunk: int = DEFAULT
     return _neighbors(both_ways(scored, keep=["support", "score"]), k)
 
 
-def user_pearson(ratings: DataFrame, min_overlap: int = 5, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def user_pearson(ratings: DataFrame, min_overlap: int = 5, most: int = MOST_TERMS) -> DataFrame:
     """User-user Pearson correlation over co-rated items from exact integer
     sums; pairs with fewer than ``min_overlap`` common items or zero variance
-    are dropped.  Returns unordered pairs (id < other)."""
-    r = ratings.select("user_id", "item_id", F.col("rating").cast("bigint").alias("y"))
-    pairs = co_pairs(r, "item_id", "user_id", carry=["y"], chunk=chunk)
-    x, y = F.col("a_y"), F.col("b_y")
-    s = (pairs.groupBy("a", "b")
-         .agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
-              F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
-         .where(F.col("n") >= F.lit(min_overlap)))
-    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
-    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    return (s.where((vx > 0) & (vy > 0))
-            .select(F.col("a").alias("id"), F.col("b").alias("other"), F.col("n").alias("support"),
+    are dropped.  Returns unordered pairs (id < other).
+
+    Pairs come from packed blocks (``pair_sums``): a user's ``min_overlap - 1`` most rated
+    items make no pairs, as whoever shares that many with the user shares another too."""
+    p = pair_sums(ratings, "user_id", "item_id", F.col("rating"), max(1, min_overlap), most)
+    n, sx, sy, sxx, syy, sxy = (F.col(c).cast("bigint") for c in SUMS)
+    vx, vy, cov = n * sxx - sx * sx, n * syy - sy * sy, n * sxy - sx * sy
+    return (p.where((vx > 0) & (vy > 0))
+            .select(F.col("a").alias("id"), F.col("b").alias("other"), n.alias("support"),
                     m6(cov / F.sqrt(vx.cast("double") * vy.cast("double"))).alias("score")))
 
 
@@ -126,7 +135,7 @@ def predict_user_cf(ratings: DataFrame, pearson: DataFrame, k: int | None = None
           .select(F.col("user_id").alias("other"), "item_id",
                   (F.col("rating") - F.col("s") / F.col("n")).alias("dev")))
     contrib = (directed.select(F.col("id").alias("user_id"), "other", F.col("score").alias("c"))
-               .join(dv, "other"))
+               .join(loose(dv), "other"))
     # summed first: what is excluded is then one row per (user, item), not one per neighbor
     agg = exclude_seen(contrib.groupBy("user_id", "item_id")
                        .agg(F.sum(F.col("c") * F.col("dev")).alias("num"), F.sum(F.abs("c")).alias("den")), ratings)
@@ -136,16 +145,15 @@ def predict_user_cf(ratings: DataFrame, pearson: DataFrame, k: int | None = None
                     r6(F.col("s") / F.col("n") + F.col("num") / F.col("den")).alias("pred")))
 
 
-def slope_one_devs(ratings: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def slope_one_devs(ratings: DataFrame, most: int = MOST_TERMS) -> DataFrame:
     """C8 deviations: for each ordered item pair, co-rater count ``n`` and the
-    integer ``d = sum(y_i - y_j)``; ``dev = d / n``."""
-    r = ratings.select("user_id", "item_id", F.col("rating").cast("bigint").alias("y"))
-    pairs = co_pairs(r, "user_id", "item_id", carry=["y"], chunk=chunk)
-    agg = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"),
-                                      F.sum(F.col("a_y") - F.col("b_y")).alias("d"))
-    fwd = agg.select(F.col("a").alias("i"), F.col("b").alias("j"), "n", "d")
-    rev = agg.select(F.col("b").alias("i"), F.col("a").alias("j"), "n", (-F.col("d")).alias("d"))
-    return fwd.unionByName(rev)
+    integer ``d = sum(y_i - y_j)``; ``dev = d / n``.  The pairs' sums are added up in packed
+    blocks of items, without a row to a pair of ratings (``pair_sums``)."""
+    p = pair_sums(ratings, "item_id", "user_id", F.col("rating"), 1, most)
+    d = (F.col("sx") - F.col("sy")).cast("bigint")
+    both = F.explode(F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j"), "n", d.alias("d")),
+                             F.struct(F.col("b").alias("i"), F.col("a").alias("j"), "n", (-d).alias("d"))))
+    return p.select(both.alias("p")).select("p.i", "p.j", "p.n", "p.d")
 
 
 def slope_one(ratings: DataFrame, devs: DataFrame | None = None) -> DataFrame:
@@ -243,3 +251,44 @@ def graph_walk(inter: DataFrame, steps: int = 10, damping: float = 0.85,
         if (t + 1) % checkpoint_every == 0 and t + 1 < steps:
             mass = mass.checkpoint(eager=True)
     return mass.select(F.col("k").alias("kind"), F.col("id").alias("node"), F.col("m").alias("mass"))
+
+
+def graph_push(inter: DataFrame, seeds: DataFrame, rounds: int = 20, damping: float = 0.85,
+               eps: float = 1e-4, checkpoint_every: int = 4) -> DataFrame:
+    """C15 per seed: (seed, kind, node, mass, residual), the random walk with restart from each
+    of ``seeds`` (user_id) on its own, by forward push.
+
+    All of a seed's mass starts as residual on the seed.  A round takes every node whose residual
+    is at least ``eps`` times its degree, keeps ``1 - damping`` of it as mass and sends the rest
+    evenly along its edges; smaller residuals wait.  It ends when none is left to push, or after
+    ``rounds``.  The mass differs from the exact walk by no more than the residuals left: in all
+    by their sum, and once pushing has ended every node's residual is under ``eps`` x degree.  A
+    seed touches some ``1 / (eps (1 - damping))`` edges at most, however large the graph.
+    """
+    from pickwise.session import checkpoint_dir
+    checkpoint_dir(inter.sparkSession)
+    e = inter.select("user_id", "item_id")
+    edges = (e.select(F.lit("u").alias("kind"), F.col("user_id").alias("node"), F.lit("i").alias("dk"), F.col("item_id").alias("dn"))
+             .unionByName(e.select(F.lit("i").alias("kind"), F.col("item_id").alias("node"), F.lit("u").alias("dk"), F.col("user_id").alias("dn"))))
+    degree = edges.groupBy("kind", "node").agg(F.count(F.lit(1)).alias("d")).checkpoint(eager=True)
+    start = seeds.select(F.col("user_id").alias("seed")).distinct()
+    state = (start.select("seed", F.lit("u").alias("kind"), F.col("seed").alias("node"), F.lit(0.0).alias("mass"), F.lit(1.0).alias("residual"))
+             .join(loose(degree), ["kind", "node"]))  # a seed without edges has no walk
+    for t in range(rounds):
+        large = F.col("residual") >= F.lit(eps) * F.col("d")
+        moving = state.where(large)
+        if t % checkpoint_every == 0:  # a look whether there is anything to push, where the state has been written anyway
+            state = state.checkpoint(eager=True)
+            moving = state.where(large)
+            if moving.isEmpty():
+                break
+        sent = (moving.select("seed", "kind", "node", (F.lit(damping) * F.col("residual") / F.col("d")).alias("r"))
+                .join(loose(edges), ["kind", "node"])
+                .groupBy("seed", F.col("dk").alias("kind"), F.col("dn").alias("node")).agg(F.sum("r").alias("got")))
+        kept = state.select("seed", "kind", "node",
+                            F.when(large, F.col("mass") + F.lit(round(1.0 - damping, 12)) * F.col("residual")).otherwise(F.col("mass")).alias("mass"),
+                            F.when(large, F.lit(0.0)).otherwise(F.col("residual")).alias("residual"))
+        every = kept.unionByName(sent.select("seed", "kind", "node", F.lit(0.0).alias("mass"), F.col("got").alias("residual")))
+        state = (every.groupBy("seed", "kind", "node").agg(F.sum("mass").alias("mass"), F.sum("residual").alias("residual"))
+                 .join(loose(degree), ["kind", "node"]))
+    return state.select("seed", "kind", "node", "mass", "residual")

@@ -1,4 +1,4 @@
-"""Model-based operators on pyspark.ml: ALS (C10-C12), FP-growth (C14), a
+"""Model-based operators on pyspark.ml: ALS (C10-C12), frequent sets (C14), a
 click/purchase ranker (C16), topics (T10) and item vectors (T11).
 
 Models are fitted on DataFrames and return DataFrames; fits are eager (they
@@ -7,104 +7,179 @@ run Spark jobs), results are lazy.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.scores import m6, r6
+from pickwise.operators.ordering import global_rank
+from pickwise.operators.pairs import DEFAULT_CHUNK, co_pairs
 from pickwise.operators.rerank import exclude_seen, top_n
+from pickwise.operators.serving import best_products
 from pickwise.operators.skew import loose
+from pickwise.operators.vectors import nearest_ivf
+from pickwise.session import checkpoint_dir
 
 INT_MAX = 2**31 - 1
 
 
-def _check_int_ids(df: DataFrame, *cols: str) -> None:
-    """ALS needs int ids: fail on any id outside [0, 2^31-1] instead of wrapping."""
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-    row = df.agg(*aggs).first()
-    for c in cols:
-        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
-        if lo is not None and (lo < 0 or hi > INT_MAX):
-            raise ValueError(f"{c} outside the int range ALS accepts: [{lo}, {hi}]")
+@dataclass(frozen=True)
+class Factors:
+    """A fitted ALS model with the ids it was fitted on: ``users`` and ``items`` map the model's own
+    whole numbers (``dense``) to ids; None where the ids themselves are the model's numbers."""
+
+    model: object
+    users: DataFrame | None
+    items: DataFrame | None
+
+    def _named(self, factors: DataFrame, names: DataFrame | None, id_col: str) -> DataFrame:
+        f = factors.select(F.col("id").alias("dense"), F.col("features").alias("v"))
+        if names is None:
+            return f.select(F.col("dense").cast("bigint").alias(id_col), "v")
+        return f.join(loose(names), "dense").select(F.col("id").alias(id_col), "v")
+
+    @property
+    def user_factors(self) -> DataFrame:
+        """(user_id, v)"""
+        return self._named(self.model.userFactors, self.users, "user_id")
+
+    @property
+    def item_factors(self) -> DataFrame:
+        """(item_id, v)"""
+        return self._named(self.model.itemFactors, self.items, "item_id")
+
+
+def _dense(df: DataFrame, col: str) -> DataFrame | None:
+    """(id, dense): the ids of a column numbered from 0 in their order where some are no whole number
+    that ALS takes (0..2^31-1); None where all are."""
+    lo, hi = df.agg(F.min(col), F.max(col)).first()
+    if lo is None or (lo >= 0 and hi <= INT_MAX):
+        return None
+    ids = df.select(F.col(col).alias("id")).where(F.col("id").isNotNull()).distinct()
+    out = global_rank(ids, [F.col("id").asc()], "r").select("id", (F.col("r") - 1).alias("dense")).checkpoint(eager=True)
+    if out.agg(F.max("dense")).first()[0] > INT_MAX:
+        raise ValueError(f"more than 2^31 different {col}: ALS numbers them with an int")
+    return out.withColumn("dense", F.col("dense").cast("int"))
+
+
+def _numbered(df: DataFrame, col: str, names: DataFrame | None, name: str) -> DataFrame:
+    if names is None:
+        return df.withColumn(name, F.col(col).cast("int"))
+    return df.join(loose(names.select(F.col("id").alias(col), F.col("dense").alias(name))), col)
 
 
 def als(df: DataFrame, rating_col: str = "rating", implicit: bool = False, rank: int = 10,
-        reg: float = 0.1, iters: int = 10, alpha: float = 1.0, seed: int = 42):
+        reg: float = 0.1, iters: int = 10, alpha: float = 1.0, seed: int = 42) -> Factors:
     """Fit ALS on (user_id, item_id, rating_col).
 
     Explicit ratings by default; ``implicit=True`` treats the column as a
-    confidence weight (Hu, Koren and Volinsky 2008).  Unknown ids are dropped
-    at prediction time (coldStartStrategy='drop'), so cold users need R4.
+    confidence weight (Hu, Koren and Volinsky 2008).  Ids beyond the int range are numbered
+    first.  Unknown ids are dropped at prediction time, so cold users need R4.
     """
     from pyspark.ml.recommendation import ALS
-    _check_int_ids(df, "user_id", "item_id")
-    data = df.select(F.col("user_id").cast("int").alias("user"), F.col("item_id").cast("int").alias("item"),
-                     F.col(rating_col).cast("float").alias("r"))
+    checkpoint_dir(df.sparkSession)
+    users, items = _dense(df, "user_id"), _dense(df, "item_id")
+    data = _numbered(_numbered(df.select("user_id", "item_id", F.col(rating_col).cast("float").alias("r")),
+                               "user_id", users, "user"), "item_id", items, "item").select("user", "item", "r")
     est = ALS(userCol="user", itemCol="item", ratingCol="r", rank=rank, regParam=reg, maxIter=iters,
               implicitPrefs=implicit, alpha=alpha, seed=seed, coldStartStrategy="drop",
               nonnegative=False, checkpointInterval=5)
-    return est.fit(data)
+    return Factors(est.fit(data), users, items)
 
 
-def als_predict(model, pairs: DataFrame) -> DataFrame:
+def als_predict(factors: Factors, pairs: DataFrame) -> DataFrame:
     """Predicted rating for (user_id, item_id) pairs the model knows."""
-    p = model.transform(pairs.select(F.col("user_id").cast("int").alias("user"),
-                                     F.col("item_id").cast("int").alias("item"), "user_id", "item_id"))
-    return p.select("user_id", "item_id", r6(F.col("prediction").cast("double")).alias("pred"))
+    p = _numbered(_numbered(pairs.select("user_id", "item_id"), "user_id", factors.users, "user"),
+                  "item_id", factors.items, "item")
+    return factors.model.transform(p).select("user_id", "item_id", r6(F.col("prediction").cast("double")).alias("pred"))
 
 
-def als_recommend(model, seen: DataFrame, n: int = 10, source: str = "als") -> DataFrame:
+def als_recommend(factors: Factors, seen: DataFrame, n: int = 10, source: str = "als") -> DataFrame:
     """Top n unseen items per user from an ALS model.
 
-    A user with h seen items needs the model's best ``n + h`` items to keep n
-    unseen ones.  Users are bucketed by ``ceil(log2(h + 1))`` and each bucket
-    asks ``recommendForUserSubset`` for ``n + 2^b`` items, so the request
-    grows with each user's own history (at most twice it), not with the
-    longest history of all: exact, and linear in total history.  The loop
-    runs over the few distinct buckets (at most 64), not over users.
+    A user with h seen items needs the model's best ``n + h`` to keep n unseen ones, so the
+    lists asked for are linear in users and total history.  They are the exact greatest inner
+    products (``best_products``: items by falling norm, stopped by the product of norms).
     """
     hist = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("h"))
-    users = (model.userFactors.select(F.col("id").cast("bigint").alias("user_id"))
-             .join(hist, "user_id", "left")
-             .select("user_id", F.ceil(F.log2(F.coalesce("h", F.lit(0)) + F.lit(1))).cast("int").alias("b")))
-    buckets = sorted(r.b for r in users.select("b").distinct().collect())
-    parts = []
-    for b in buckets:
-        subset = users.where(F.col("b") == b).select(F.col("user_id").cast("int").alias("user"))
-        recs = model.recommendForUserSubset(subset, n + (1 << b))
-        parts.append(recs.select(F.col("user").cast("bigint").alias("user_id"),
-                                 F.explode("recommendations").alias("r")))
-    flat = parts[0]
-    for p in parts[1:]:
-        flat = flat.unionByName(p)
-    scored = flat.select("user_id", F.col("r.item").cast("bigint").alias("item_id"),
-                         m6(F.col("r.rating").cast("double")).alias("score"))
-    return top_n(exclude_seen(scored, seen), n, source)
-
-
-def als_similar(model, k: int = 10) -> DataFrame:
-    """Items most similar by cosine of their ALS factors (approximate, via T9, whose
-    candidates grow with the items; T8 on the factors is exact and quadratic)."""
-    from pickwise.operators.content import nearest_lsh
-    f = model.itemFactors.select(F.col("id").cast("bigint").alias("item_id"), F.col("features"))
-    return nearest_lsh(f, k, id_col="item_id", vec_col="features")
-
-
-def frequent_sets(lineitem: DataFrame, min_support: float = 0.0001, max_size: int = 3,
-                  min_confidence: float = 0.0):
-    """C14: frequent item sets over order baskets (FP-growth): sets in at least
-    ``min_support`` of all orders (a share, so it means the same at every size),
-    of up to ``max_size`` items (the feature's limit; None returns all sizes).
-    Returns (item sets with ``n``, association rules).  A basket is one row: the
-    distinct parts of one order."""
-    from pyspark.ml.fpm import FPGrowth
-    baskets = (lineitem.select("l_orderkey", "l_partkey").distinct()
-               .groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    sets = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("n"),
-                                     F.size("items").cast("bigint").alias("size"))
-    return (sets if max_size is None else sets.where(F.col("size") <= max_size)), model.associationRules
+    users = (factors.user_factors.join(loose(hist), "user_id", "left")
+             .select("user_id", "v", (F.coalesce("h", F.lit(0)) + F.lit(n)).alias("want")))
+    found = best_products(users, factors.item_factors)
+    return top_n(exclude_seen(found.select("user_id", "item_id", m6("product").alias("score")), seen), n, source)
+
+
+def als_similar(factors: Factors, k: int = 10) -> DataFrame:
+    """Items most similar by cosine of their ALS factors (approximate, by T9's inverted file;
+    T8 on the factors is exact and quadratic)."""
+    return nearest_ivf(factors.item_factors, k, id_col="item_id", vec_col="v")
+
+
+#: baskets to a bitmap, the bits of a bigint: 2 ** 6
+BITS = 64
+
+
+def frequent_sets(lineitem: DataFrame, min_support: float = 0.0001, max_size: int | None = 3,
+                  min_confidence: float = 0.0, chunk: int = DEFAULT_CHUNK):
+    """C14: frequent item sets over order baskets: sets in at least ``min_support`` of all
+    orders (a share, so it means the same at every size), of up to ``max_size`` items (None: as
+    large as they come).  Returns (item sets with ``n``, association rules).  A basket is the
+    distinct parts of one order.
+
+    Level by level: a set is held as bitmaps of the baskets that have it, a bigint to 64
+    baskets, and a set of k + 1 items is two frequent sets of k with the same first k - 1 items,
+    its bitmaps their common bits.  Sets beyond ``max_size`` are never formed, and no basket is
+    gathered into a row: pairs come from ``co_pairs``, which splits large baskets.
+    """
+    spark = lineitem.sparkSession
+    checkpoint_dir(spark)
+    o, i = F.col("l_orderkey").cast("bigint"), F.col("l_partkey").cast("bigint")
+    baskets = (lineitem.select(o.alias("o"), i.alias("i")).where(F.col("o").isNotNull() & F.col("i").isNotNull())
+               .distinct().checkpoint(eager=True))
+    n_baskets = baskets.select("o").distinct().count()
+    least = F.lit(math.ceil(min_support * n_baskets))
+    one = baskets.groupBy("i").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    levels = [one.select(F.array("i").alias("items"), "n").checkpoint(eager=True)]
+    bit = F.expr(f"shiftleft(1L, cast(pmod(o, {BITS}) as int))")
+    size = 1
+    while max_size is None or size < max_size:
+        if size == 1:
+            common = baskets.join(loose(one.select("i")), "i", "left_semi")
+            rows = (co_pairs(common, "o", "i", chunk=chunk)
+                    .groupBy(F.array("a", "b").alias("items"), F.shiftright("o", 6).alias("block"))
+                    .agg(F.bit_or(bit).alias("bits")))
+        else:
+            last = F.col("items")[size - 1]
+            side = maps.select(F.slice("items", 1, size - 1).alias("prefix"), "block", last.alias("x"), "bits")
+            both = (side.alias("p").join(side.alias("q"), ["prefix", "block"]).where(F.col("p.x") < F.col("q.x"))
+                    .select(F.concat("prefix", F.array("p.x", "q.x")).alias("items"), "block",
+                            F.col("p.bits").bitwiseAND(F.col("q.bits")).alias("bits")))
+            rows = both.where(F.col("bits") != 0)
+        rows = rows.checkpoint(eager=True)
+        found = (rows.groupBy("items").agg(F.sum(F.bit_count("bits")).cast("bigint").alias("n"))
+                 .where(F.col("n") >= least).checkpoint(eager=True))
+        if found.isEmpty():
+            break
+        levels.append(found)
+        maps = rows.join(loose(found.select("items")), "items", "left_semi")
+        size += 1
+    sets = levels[0]
+    for level in levels[1:]:
+        sets = sets.unionByName(level)
+    return sets.withColumn("size", F.size("items").cast("bigint")), _rules(sets, n_baskets, min_confidence)
+
+
+def _rules(sets: DataFrame, n_baskets: int, min_confidence: float) -> DataFrame:
+    """(antecedent, consequent, confidence, lift, support): every frequent set with one item after the others."""
+    from_set = (sets.where(F.size("items") > 1).select("items", "n", F.explode("items").alias("c"))
+                .select(F.filter("items", lambda x: x != F.col("c")).alias("antecedent"), F.array("c").alias("consequent"), "n"))
+    count = lambda name, n: loose(sets.select(F.col("items").alias(name), F.col("n").alias(n)))
+    j = from_set.join(count("antecedent", "na"), "antecedent").join(count("consequent", "nc"), "consequent")
+    confidence = F.col("n") / F.col("na")
+    return (j.where(confidence >= F.lit(min_confidence))
+            .select("antecedent", "consequent", confidence.alias("confidence"),
+                    (confidence * F.lit(n_baskets) / F.col("nc")).alias("lift"), (F.col("n") / F.lit(n_baskets)).alias("support")))
 
 
 def fit_ranker(events: DataFrame, buckets: int = 1 << 18, iters: int = 20, seed: int = 42,
@@ -169,7 +244,6 @@ def item_vectors(events: DataFrame, dim: int = 16, window: int = 5, sentence: in
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
-    from pickwise.operators.ordering import global_rank
     from pickwise.operators.sequence import item_events
 
     ev = item_events(events).where(F.col("item_id").isNotNull()).select("user_id", "ts", "event_id", "item_id")

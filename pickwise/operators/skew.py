@@ -1,4 +1,4 @@
-"""Joins of facts to per-key aggregates that adaptive execution can split.
+"""Work dealt over the cluster: joins that adaptive execution can split, and small tables.
 
 Adaptive execution cuts a skewed join partition in pieces only where both join inputs
 are plain shuffles.  An aggregate on the join key already has the right partitioning, is
@@ -16,3 +16,14 @@ from pyspark.sql import DataFrame
 def loose(agg: DataFrame) -> DataFrame:
     """``agg`` without the partitioning of its aggregate."""
     return agg.hint("rebalance")
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input is smaller than a scan partition to each: such a table
+    is often one file with one row group, read (and its texts cut) in a single task.  The
+    size is the optimizer's, so a large table, which has splits enough, is left as it is."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df

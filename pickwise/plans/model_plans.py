@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from pickwise.functions.scores import m6
 from pickwise.operators import collaborative as cf
-from pickwise.operators import content as ct
 from pickwise.operators import models as md
 from pickwise.operators import prep
+from pickwise.operators import vectors as vs
 from pickwise.plans import sqlparts as q
 from pickwise.plans.registry import register
 from pickwise.sources import tables as src
@@ -91,25 +91,75 @@ def c15_graph_walk(spark, sf_dir):
                                                    m6(F.col("mass") * F.lit(1e6)).alias("score"))
 
 
+PUSH_STEP = """s{t} AS (SELECT seed, k, id, sum(m) AS m, sum(r) AS r FROM (
+  SELECT s.seed, s.k, s.id, CASE WHEN r >= 0.001 * d THEN m + 0.15::DOUBLE * r ELSE m END AS m,
+         CASE WHEN r >= 0.001 * d THEN 0.0 ELSE r END AS r FROM s{p} s JOIN deg ON deg.k = s.k AND deg.id = s.id
+  UNION ALL SELECT s.seed, e.dk, e.did, 0.0, 0.85::DOUBLE * s.r / d FROM s{p} s
+  JOIN deg ON deg.k = s.k AND deg.id = s.id JOIN edges e ON e.k = s.k AND e.id = s.id WHERE r >= 0.001 * d) GROUP BY 1, 2, 3)"""
+
+
+@register("c15_seed_walks", f"""WITH {q.INTER},
+edges AS (SELECT 'u' AS k, user_id AS id, 'i' AS dk, item_id AS did FROM inter
+          UNION ALL SELECT 'i', item_id, 'u', user_id FROM inter),
+deg AS (SELECT k, id, count(*) AS d FROM edges GROUP BY 1, 2),
+s0 AS (SELECT user_id AS seed, 'u' AS k, user_id AS id, 0.0::DOUBLE AS m, 1.0::DOUBLE AS r
+       FROM (SELECT DISTINCT user_id FROM inter ORDER BY user_id LIMIT 10)),
+{PUSH_STEP.format(t=1, p=0)}, {PUSH_STEP.format(t=2, p=1)}, {PUSH_STEP.format(t=3, p=2)}, {PUSH_STEP.format(t=4, p=3)}
+SELECT seed, k AS kind, id AS node, {q.m6('m')} AS score, {q.m6('r')} AS open FROM s4""")
+def c15_seed_walks(spark, sf_dir):
+    """Four rounds of pushing from each of the ten users with the smallest ids."""
+    inter = src.interactions(spark, sf_dir)
+    seeds = inter.select("user_id").distinct().orderBy("user_id").limit(10)
+    return cf.graph_push(inter, seeds, rounds=4, eps=1e-3).select(
+        "seed", "kind", "node", m6("mass").alias("score"), m6("residual").alias("open"))
+
+
 @register("c16_ranker")
 def c16_ranker(spark, sf_dir):
     _, scored = md.fit_ranker(src.load(spark, sf_dir, "events"))
     return scored
 
 
-@register("t8_nearest", f"""WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+EXACT_NEAREST = f"""WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 n AS (SELECT id, v, sqrt(list_dot_product(v, v)) AS nrm FROM v),
 sc AS (SELECT a.id, b.id AS other, {q.m6('list_dot_product(a.v, b.v) / (a.nrm * b.nrm)')} AS score
        FROM n a JOIN n b ON a.id <> b.id)
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS BIGINT) AS rank
-               FROM sc) WHERE rank <= 5""")
+               FROM sc) WHERE rank <= 5"""
+
+
+@register("t8_nearest", EXACT_NEAREST)
 def t8_nearest(spark, sf_dir):
-    return ct.nearest(src.load(spark, sf_dir, "embeddings"), 5)
+    return vs.nearest(src.load(spark, sf_dir, "embeddings"), 5)
 
 
 @register("t9_nearest_lsh")
 def t9_nearest_lsh(spark, sf_dir):
-    return ct.nearest_lsh(src.load(spark, sf_dir, "embeddings"), 5)
+    """T9's approximate neighbours, by the inverted file (the name is that of its former method)."""
+    return vs.nearest_ivf(src.load(spark, sf_dir, "embeddings"), 5)
+
+
+def recall_ok(found, exact, least: float):
+    """``exact`` with the column recall_ok: whether ``found`` has at least ``least`` of its (id, other)."""
+    both = exact.select("id", "other").intersect(found.select("id", "other")).agg(F.count(F.lit(1))).scalar()
+    every = exact.agg(F.count(F.lit(1))).scalar()
+    return exact.withColumn("recall_ok", both >= every * F.lit(least))
+
+
+@register("t9_ivf_recall", f"SELECT *, TRUE AS recall_ok FROM ({EXACT_NEAREST})")
+def t9_ivf_recall(spark, sf_dir):
+    """The exact neighbours, and whether T9 finds 0.9 of them."""
+    emb = src.load(spark, sf_dir, "embeddings")
+    return recall_ok(vs.nearest_ivf(emb, 5).checkpoint(eager=True), vs.nearest(emb, 5).checkpoint(eager=True), 0.9)
+
+
+@register("c12_als_recall", "SELECT TRUE AS recall_ok")
+def c12_als_recall(spark, sf_dir):
+    """Whether the approximate neighbours of the ALS item factors hold 0.9 of the exact ones."""
+    inter = src.interactions(spark, sf_dir)
+    f = md.als(inter, rating_col="w", implicit=True, rank=10, reg=0.1, iters=10).item_factors
+    exact = vs.nearest(f, 10, "item_id", "v").checkpoint(eager=True)
+    return recall_ok(vs.nearest_ivf(f, 10, "item_id", "v").checkpoint(eager=True), exact, 0.9).select("recall_ok").distinct()
 
 
 @register("t10_topics")

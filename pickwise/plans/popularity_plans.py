@@ -125,6 +125,25 @@ def a8_heavy_hitters(spark, sf_dir):
     return pop.heavy_hitters(src.load(spark, sf_dir, "events"), 10)
 
 
+@register("a8_merged_sketches", """SELECT count(*) AS events, count(DISTINCT user_id) AS users, TRUE AS within,
+  (SELECT count(*) FROM (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events GROUP BY 1)) AS items, TRUE AS top_within
+FROM events""")
+def a8_merged_sketches(spark, sf_dir):
+    """Exact counts over all days, and whether the days' merged sketches are within 3 % of the users and,
+    for every item that they list, within 1 % of the events."""
+    events = src.load(spark, sf_dir, "events")
+    item = F.get_json_object("props", "$.k").cast("bigint")
+    days = pop.daily_sketches(events).checkpoint(eager=True)
+    exact = events.agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"))
+    per_item = events.groupBy(item.alias("item_id")).agg(F.count(F.lit(1)).alias("n"))
+    gap = (pop.merged_top(days, 100).join(per_item, "item_id", "left")
+           .agg(F.max(F.abs(F.col("approx_count") - F.coalesce("n", F.lit(0))))).scalar())
+    approx = pop.merged_stats(days).select(F.col("events").alias("n"), "approx_users")
+    both = exact.join(approx, F.col("events") == F.col("n"))
+    return both.select("events", "users", (F.abs(F.col("approx_users") - F.col("users")) <= F.lit(0.03) * F.col("users")).alias("within"),
+                       per_item.agg(F.count(F.lit(1))).scalar().alias("items"), (gap <= F.lit(0.01) * F.col("events")).alias("top_within"))
+
+
 @register("p1_min_support", f"""WITH {q.INTER},
 u1 AS (SELECT * FROM inter WHERE user_id IN (SELECT user_id FROM inter GROUP BY 1 HAVING count(*) >= 30)),
 i1 AS (SELECT * FROM u1 WHERE item_id IN (SELECT item_id FROM u1 GROUP BY 1 HAVING count(*) >= 20)),

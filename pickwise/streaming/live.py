@@ -124,13 +124,23 @@ PROFILE_SCHEMA = "user_id bigint, events bigint, purchases bigint, value_cents b
 PROFILE_STATE = "events bigint, purchases bigint, value_cents bigint, last_ts timestamp"
 
 
-def stream_profile(stream: DataFrame) -> DataFrame:
+def stream_profile(stream: DataFrame, idle_days: int = 90, late: str = "1 day") -> DataFrame:
     """Running profile per user kept in streaming state
     (``applyInPandasWithState``): events, purchases, value in whole cents (so the order
-    of the batches cannot show) and last event time, emitted on every update."""
+    of the batches cannot show) and last event time, emitted on every update.
+
+    A user's state is dropped once the watermark is ``idle_days`` past the user's last event, so it
+    follows the active users and not all there ever were; a user who comes back starts anew.
+    Events more than ``late`` behind the watermark's time are dropped.
+    """
     import pandas as pd
 
+    idle = idle_days * 86_400_000
+
     def update(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         if state.exists:
             ev, pu, vs, last = state.get
         else:
@@ -142,13 +152,14 @@ def stream_profile(stream: DataFrame) -> DataFrame:
             m = pdf["et"].max()
             last = m if last is None or m > last else last
         state.update((ev, pu, vs, last))
+        state.setTimeoutTimestamp(max(int(last.timestamp() * 1000) + idle, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"user_id": [key[0]], "events": [ev], "purchases": [pu],
                             "value_cents": [vs], "last_ts": [last]})
 
     cents = F.coalesce(F.round(F.col("value") * 100).cast("bigint"), F.lit(0)).alias("cents")
-    return (stream.select("user_id", "event_type", cents, "et")
+    return (stream.select("user_id", "event_type", cents, "et").withWatermark("et", late)
             .groupBy("user_id")
-            .applyInPandasWithState(update, PROFILE_SCHEMA, PROFILE_STATE, "update", "NoTimeout"))
+            .applyInPandasWithState(update, PROFILE_SCHEMA, PROFILE_STATE, "update", "EventTimeTimeout"))
 
 
 # ---------------------------------------------------------------- running

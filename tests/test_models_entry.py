@@ -21,11 +21,56 @@ def test_als_beats_global_mean(spark):
     assert err.n > 0 and err.rmse < 0.5 * base
 
 
-def test_als_ids_must_fit_int(spark):
-    import pytest
-    df = spark.createDataFrame([(2**40, 1, 3.0)], "user_id bigint, item_id bigint, rating double")
-    with pytest.raises(ValueError):
-        md.als(df)
+def test_als_takes_any_ids(spark):
+    """Ids beyond the int range are numbered; the model is that of their numbers."""
+    r = planted_rank2(spark)
+    big = r.select((F.col("user_id") * 10**12 - 5 * 10**12).alias("user_id"), (F.col("item_id") + 2**40).alias("item_id"), "rating")
+    model = md.als(big, rank=2, reg=0.01, iters=10)
+    users, items = ({x[0] for x in big.select(c).distinct().collect()} for c in ("user_id", "item_id"))
+    recs = md.als_recommend(model, big, n=3).collect()
+    assert recs and {x.user_id for x in recs} <= users and {x.item_id for x in recs} <= items
+    pred = {(x.user_id, x.item_id): x.pred for x in md.als_predict(model, big).collect()}
+    err = [abs(pred[x.user_id, x.item_id] - x.rating) for x in big.collect()]
+    assert len(pred) == big.count() and sum(err) / len(err) < 0.5
+    assert {x.id for x in md.als_similar(model, 2).collect()} <= items
+
+
+def test_als_lists_are_those_of_spark(spark, monkeypatch):
+    """The lists of recommendForUserSubset without what was seen, in few and in many blocks of items."""
+    from pickwise.operators import serving
+    r = planted_rank2(spark)
+    train, _ = prep.split_hash(r, 3)
+    factors = md.als(train, rank=4, reg=0.05, iters=5)
+    n_items = factors.item_factors.count()
+    seen = {(x.user_id, x.item_id) for x in train.collect()}
+    want = {}
+    for x in factors.model.recommendForUserSubset(factors.model.userFactors.select(F.col("id").alias("user")), n_items).collect():
+        want[x.user] = [(i, s) for i, s in x.recommendations if (x.user, i) not in seen][:5]
+    for block in (4096, 7):
+        monkeypatch.setattr(serving, "ITEMS", block)
+        got = {}
+        for x in md.als_recommend(factors, train, n=5).orderBy("user_id", "rank").collect():
+            got.setdefault(x.user_id, []).append((x.item_id, x.score / 1e6))
+        assert got.keys() == {u for u, l in want.items() if l}
+        for u, l in got.items():
+            assert len(l) == len(want[u])
+            assert all(abs(a[1] - b[1]) < 1e-5 for a, b in zip(l, want[u]))
+            assert [a for a, _ in l] == [b for b, _ in want[u]] or len({round(s, 5) for _, s in want[u]}) < len(want[u])
+
+
+def test_serving_stops_at_the_norm_bound():
+    """Blocks by falling norm: once a user's list is over the product of norms, no more is multiplied."""
+    import numpy as np
+    from pickwise.operators.serving import Users
+    rnd = np.random.default_rng(2)
+    items = rnd.standard_normal((4000, 6)) * np.exp(-np.arange(4000) / 300)[:, None]
+    items = items[np.argsort(-np.linalg.norm(items, axis=1))]
+    users = Users(np.arange(50), np.full(50, 10), rnd.standard_normal((50, 6)))
+    for lo in range(0, 4000, 100):
+        users.meet(np.arange(lo, lo + 100), items[lo:lo + 100], float(np.linalg.norm(items[lo])))
+    for u, (score, ids) in enumerate(users.best):
+        assert ids.tolist() == np.argsort(-(items @ users.vectors[u]), kind="stable")[:10].tolist()
+    assert users.products < 0.5 * 50 * 4000
 
 
 def test_implicit_als_ranks_own_group_first(spark):

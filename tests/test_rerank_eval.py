@@ -106,3 +106,28 @@ def test_diversity_uses_missing_pairs_as_zero(spark):
     nb = spark.createDataFrame([(1, 2, 1, 600000), (2, 1, 1, 600000)], "id bigint, other bigint, support bigint, score bigint")
     d = ev.diversity(recs, nb).first()
     assert d.diversity == round(1 - 1.2 / 6, 6)
+
+
+def test_merged_sketches_are_the_whole(spark):
+    """The days' sketches together say what one over all events would, within the bounds, and
+    days may be merged in any grouping."""
+    import datetime as dt
+
+    from pickwise.operators import popularity as pop
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=7 * i), i % 1700, "view", 1.0, f'{{"k": {min(i % 97, i % 13)}}}') for i in range(6000)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    days = pop.daily_sketches(events).checkpoint()
+    assert days.count() == len({(start + dt.timedelta(minutes=7 * i)).date() for i in range(6000)})
+    whole = pop.merged_stats(days).first()
+    assert whole.events == 6000 and abs(whole.approx_users - 1700) <= 0.03 * 1700
+    part = pop.merged_stats(days.where("day < '2024-01-10'")).first()
+    assert part.events == sum(1 for r in rows if r[1] < dt.datetime(2024, 1, 10))
+    true = {}
+    for r in rows:
+        k = int(r[5][6:-1])
+        true[k] = true.get(k, 0) + 1
+    top = [(r.item_id, r.approx_count) for r in pop.merged_top(days, 10).orderBy("rank").collect()]
+    assert len(top) == 10 and all(abs(n - true[k]) <= 60 for k, n in top)
+    assert [n for _, n in top] == sorted((n for _, n in top), reverse=True)
+    assert {k for k, _ in top[:3]} <= {k for k, _ in sorted(true.items(), key=lambda x: -x[1])[:6]}

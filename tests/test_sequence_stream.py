@@ -3,6 +3,7 @@ import os
 import tempfile
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -110,3 +111,29 @@ def test_streams_agree_over_one_file_many_files_and_many_batches(spark, tmp_path
     assert sorted(r.events for r in sessions) == [2, 2, 3, 3]  # 10:20 and then 10:15 are one session; 900 is still open
     kept = live.run_append(live.stream_dedup(live.event_stream(spark, many, 1)), "d").collect()
     assert sorted(r.event_id for r in kept) == [0, 5, 8]
+
+
+@pytest.mark.parametrize("idle_days, left", [(90, 40), (3, 1)])
+def test_profile_state_falls_when_users_are_idle(spark, tmp_path, idle_days, left):
+    """X6 run twice on one checkpoint, ten days apart by event time: states of users idle for longer
+    than allowed have gone after the second run, all others stay."""
+    folder, seen = f"{tmp_path}/events.parquet", []
+
+    def add(users, day):
+        rows = [(u, dt.datetime(2024, 1, day), u, "view", 1.0, '{"k": 1}') for u in users]
+        spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+                                    "props string").coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        rows = live.stream_profile(live.event_stream(spark, str(tmp_path)), idle_days)
+        writer = (rows.writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/checkpoint")
+                  .foreachBatch(lambda batch, _: seen.append({r.user_id: r.events for r in batch.collect()})).trigger(availableNow=True))
+        query = live._start(writer, spark, 2)
+        assert query.awaitTermination(120)
+        return query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+    add(range(40), 1)
+    assert run() == 40
+    add([1], 11)
+    assert run() == left
+    assert seen[0] == {u: 1 for u in range(40)} and [b for b in seen[1:] if b] == [{1: 2}]
