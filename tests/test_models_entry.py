@@ -163,7 +163,7 @@ def test_als_similar_recall_on_sf01_factors(spark):
     from pickwise.sources import tables as src
     inter = src.interactions(spark, "/root/testdata/sf0.1")
     model = md.als(inter, rating_col="w", implicit=True, rank=10, reg=0.1, iters=10)
-    rows = sorted((r.id, r.features) for r in model.itemFactors.collect())
+    rows = sorted((r.item_id, r.v) for r in model.item_factors.collect())
     m = np.array([v for _, v in rows], np.float64)
     m /= np.linalg.norm(m, axis=1, keepdims=True)
     ids = np.array([i for i, _ in rows])
