@@ -1,4 +1,4 @@
-"""T3, and the top k of C1 and C4: exact nearest by cosine of sparse vectors.
+"""T3, and the top k of C4: exact nearest by cosine of sparse vectors.
 
 Articles go in blocks.  A block holds its vectors and, per term, their postings with the
 greatest weight first, so a term's first posting bounds what it can add to any cosine with

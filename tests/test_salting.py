@@ -28,7 +28,6 @@ def test_split_groups_change_nothing(spark, name):
 
 
 LARGE = {
-    "item_cf": lambda s, m: cf.item_cf(src.interactions(s, SF001), k=5, most=m),
     "user_cf": lambda s, m: cf.user_cf(src.interactions(s, SF001), k=5, most=m),
     "user_pearson": lambda s, m: cf.user_pearson(src.ratings(s, SF001), 3, most=m),
     "slope_one_devs": lambda s, m: cf.slope_one_devs(src.ratings(s, SF001), most=m),
