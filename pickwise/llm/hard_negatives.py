@@ -10,7 +10,8 @@ plane is subtracted.
 Blocks of anchors (their components; a task makes the tables) meet blocks of candidates
 (their bytes) once for the positives, in which only rows of the anchor's own label are
 scored, and once for the negatives, in which all others are: every pair is scored once.
-A task holds one block of each.
+A task holds one block of each.  A block of anchors is sent to groups of blocks of candidates,
+whose number hardly grows, and no join is a broadcast: nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pickwise.llm.common import block_count, written
 
 BLOCK, ANCHORS = 8192, 256  # candidates and anchors to a tile
 GROUP = 8
+TOGETHER = 64  # blocks of candidates that share a copy of the anchors, at most
 
 
 def rows_to_mine(vectors: DataFrame, factor: int, shift_every: int, classes: int) -> DataFrame:
@@ -97,14 +99,14 @@ def candidate_blocks(rows: DataFrame, block: int, planes: int) -> DataFrame:
             .applyInArrow(pack, "cb long, ids binary, labels binary, planes binary"))
 
 
-def anchor_blocks(anchors: DataFrame, block: int, columns: tuple = ()) -> DataFrame:
-    """(ab, rows, ids, labels, width, data, columns...): anchors of a block as one matrix; list
-    columns are kept as they are, in the anchors' order."""
+def anchor_blocks(anchors: DataFrame, block: int, kind: str, columns: tuple = ()) -> DataFrame:
+    """(ab, rows, ids, labels, width, data, columns...): anchors of a block as one matrix of ``kind``;
+    list columns are kept as they are, in the anchors' order."""
     n = block_count(anchors.count(), block)
 
     def pack(key, table):
         m = matrix(table.column("v"))
-        out = {"ab": pa.array([key[0].as_py()], pa.int64()), "width": pa.array([m.shape[1]], pa.int64()), "a_data": [m.tobytes()]}
+        out = {"ab": pa.array([key[0].as_py()], pa.int64()), "width": pa.array([m.shape[1]], pa.int64()), "a_data": [m.astype(kind).tobytes()]}
         for name, column in (("a_rows", "row"), ("a_ids", "vec_id"), ("a_labels", "label")):
             out[name] = [table.column(column).to_numpy().tobytes()]
         for c in columns:
@@ -115,26 +117,30 @@ def anchor_blocks(anchors: DataFrame, block: int, columns: tuple = ()) -> DataFr
             .applyInArrow(pack, "ab long, a_rows binary, a_ids binary, a_labels binary, width long, a_data binary" + extra))
 
 
-def tiles(candidates: DataFrame, anchors: DataFrame, candidate_blocks_: int, planes: int, found, schema: str) -> DataFrame:
+def tiles(candidates: DataFrame, anchors: DataFrame, candidate_blocks_: int, planes: int, kind: str, found, schema: str) -> DataFrame:
     """``found(ids, labels, label scores, anchors...)`` of every block of candidates with every block of anchors.
 
-    The blocks of anchors are sent to every block of candidates by an equality join.
+    The blocks of anchors are sent to every group of blocks of candidates by a sort-merge join on
+    the group: 16 groups to a core, or more where one would pass ``TOGETHER`` blocks.
     """
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 labels = np.frombuffer(row["labels"], np.int64)
                 ids = np.frombuffer(row["ids"], np.int64)
                 bits = np.frombuffer(row["planes"], np.uint8).reshape(planes, -1, len(ids))
                 own = np.frombuffer(row["a_labels"], np.int64)
-                data = np.frombuffer(row["a_data"], np.int64).reshape(len(own), row["width"])
+                data = np.frombuffer(row["a_data"], kind).astype(np.int64).reshape(len(own), row["width"])
                 out = found(row, ids, labels, bits, own, data)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out], names=names)
-    spread = anchors.withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(candidate_blocks_ - 1).cast("long"))))
-    return candidates.join(spread, "cb").drop("cb", "ab").mapInArrow(run, schema)
+    cores = candidates.sparkSession.sparkContext.defaultParallelism
+    groups = max(min(candidate_blocks_, 16 * cores), -(-candidate_blocks_ // TOGETHER))
+    spread = anchors.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    grouped = candidates.withColumn("g", F.pmod("cb", F.lit(groups)).cast("long"))
+    return spread.join(grouped.hint("merge"), "g").drop("g", "cb", "ab").mapInArrow(run, schema)
 
 
 def label_parts(labels: np.ndarray, own: np.ndarray):
@@ -217,21 +223,22 @@ def hard_negatives(vectors: DataFrame, factor: int = 256, every: int = 100, shif
     if size * max(abs(least), abs(most)) ** 2 >= 1 << 63:
         raise ValueError("scores of these vectors pass the range of a long")
     planes = planes_needed(least, most)
+    kind = next(t for t in ("int8", "int16", "int32", "int64") if planes <= np.iinfo(t).bits)
     cand = written(candidate_blocks(rows, block, planes))
     n_blocks = block_count(rows.count(), block)
     anchors = rows.filter(F.col("vec_id") % every == 0)
 
-    near = tiles(cand, anchor_blocks(anchors, anchor_block), n_blocks, planes, best_positives(positives),
+    near = tiles(cand, anchor_blocks(anchors, anchor_block, kind), n_blocks, planes, kind, best_positives(positives),
                  "row long, positive_id long, positive_score long")
     by_score = Window.partitionBy("row").orderBy(F.desc("positive_score"), "positive_id")
     near = written(near.withColumn("p", F.row_number().over(by_score) - 1).filter(F.col("p") < positives))
     lists = near.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("p", "positive_score"))).alias("l"))
-    asked = anchors.join(lists, "row").withColumn("positives", F.col("l.positive_score")).drop("l")
+    asked = anchors.join(lists.hint("merge"), "row").withColumn("positives", F.col("l.positive_score")).drop("l")
 
-    far = tiles(cand, anchor_blocks(asked, anchor_block, ("positives",)), n_blocks, planes, hard(negatives, low, high),
+    far = tiles(cand, anchor_blocks(asked, anchor_block, kind, ("positives",)), n_blocks, planes, kind, hard(negatives, low, high),
                 "row long, p long, negative_id long, negative_score long")
     by_score = Window.partitionBy("row", "p").orderBy(F.desc("negative_score"), "negative_id")
     far = far.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= negatives)
-    return (far.join(near.withColumn("p", F.col("p").cast("long")), ["row", "p"])
-            .join(anchors.select("row", F.col("vec_id").alias("anchor_id")), "row")
+    return (far.join(near.withColumn("p", F.col("p").cast("long")).hint("merge"), ["row", "p"])
+            .join(anchors.select("row", F.col("vec_id").alias("anchor_id")).hint("merge"), "row")
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))

@@ -253,6 +253,16 @@ def test_hard_negatives_few_and_far(spark):
     assert rows(hard_negatives.hard_negatives(table(spark, big))) == sorted(brute_mine(big), key=repr)
 
 
+def test_hard_negatives_do_not_pass_through_the_driver(spark, monkeypatch):
+    """No join is a broadcast, and groups of blocks share a copy of the anchors."""
+    monkeypatch.setattr(hard_negatives, "TOGETHER", 2)
+    rnd = random.Random(2)
+    vectors = [(i, i % 3, [rnd.gauss(0.2, 1) for _ in range(5)]) for i in range(400)]
+    got = hard_negatives.hard_negatives(table(spark, vectors), block=1, anchor_block=2)
+    assert rows(got) == sorted(brute_mine(vectors), key=repr)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_are_products():
     rnd = np.random.default_rng(5)
     for low, high in ((0, 0), (0, 1), (-1, 0), (-300, 255), (-2**30, 2**30)):
