@@ -126,3 +126,16 @@ def test_seed_walks(spark):
             assert abs(sum(m + r for m, r in rows.values()) - 1.0) < 1e-9
             if rounds == 60:
                 assert all(r < eps * len(out[v]) for v, (_, r) in rows.items())
+
+
+def test_pairs_leave_a_task_in_parts(monkeypatch):
+    """Two blocks in which everyone shares something: the pairs are sent on in parts, not held together."""
+    import numpy as np
+    monkeypatch.setattr(ps, "PAIRS", 1000)
+    n = 300
+    block = rl.Block.of(np.arange(n), np.full(n, 2), np.column_stack((np.zeros(n), 1 + np.arange(n))).astype(np.int64).ravel(), np.ones(2 * n))
+    parts = list(ps.Pairs(block).parts(block, True))
+    assert max(len(p[0]) for p in parts) < 1000 + n and len(parts) > 40
+    whole = ps.Pairs(block).meet(block, True)
+    assert [x.tolist() for x in whole] == [np.concatenate(c).tolist() for c in zip(*parts)]
+    assert len(whole[0]) == n * (n - 1) // 2
