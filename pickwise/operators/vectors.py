@@ -19,7 +19,8 @@ from pickwise.operators.rerank import top_k
 from pickwise.operators.skew import loose
 from pickwise.session import checkpoint_dir
 
-BLOCK = 2048            # vectors to a side of a tile
+BLOCK = 2048            # vectors that are read at a time
+ASKED = 64 << 20        # bytes of a block of queries with their lists
 SAMPLE_ROWS = 1 << 18   # vectors that centroids are fitted on, at most
 MOST_CELLS = 1 << 14    # centroids, at most; beyond it cells grow
 CELL_SAMPLE = 32        # vectors to fit a centroid on
@@ -45,72 +46,116 @@ def _matrix(column) -> np.ndarray:
     return vs.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
 
 
+class Closest:
+    """The running k best of some query vectors, by score, ties to the smaller id.
+
+    A product counts only where it reaches the k-th best score that its query has so far, so
+    most are compared once and never scored.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.norms = np.sqrt((vectors * vectors).sum(1))
+        self.score = np.full((len(ids), k), ITSELF)
+        self.other = np.zeros((len(ids), k), np.int64)
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        norms = np.sqrt((vectors * vectors).sum(1))
+        for lo in range(0, len(self.ids) if len(ids) else 0, CHUNK):
+            own, own_norms = self.ids[lo:lo + CHUNK], self.norms[lo:lo + CHUNK]
+            dot = self.vectors[lo:lo + CHUNK] @ vectors.T
+            least = self.score[lo:lo + CHUNK, -1].astype(np.float64)
+            new = np.flatnonzero(least == ITSELF)  # lists that are not full: the k best of these vectors alone
+            if len(new):
+                least[new] = -2e6
+                if len(ids) > self.k:
+                    cos = dot[new] / np.outer(own_norms[new], norms)
+                    cos[own[new][:, None] == ids[None, :]] = -2.0
+                    least[new] = np.floor(np.partition(cos, len(ids) - self.k, axis=1)[:, len(ids) - self.k] * 1e6 + 0.5)
+            reach = (least - 0.5) / 1e6 - 1e-9
+            who, at = np.nonzero(dot >= np.outer(reach * own_norms, norms))
+            real = ids[at] != own[who]
+            who, at = who[real], at[real]
+            if len(who):
+                score = np.floor(dot[who, at] / (own_norms[who] * norms[at]) * 1e6 + 0.5).astype(np.int64)
+                self._merge(lo + who, ids[at], score)
+
+    def _merge(self, who: np.ndarray, other: np.ndarray, score: np.ndarray) -> None:
+        some = np.unique(who)
+        who = np.concatenate((np.repeat(some, self.k), who))
+        other = np.concatenate((self.other[some].ravel(), other))
+        score = np.concatenate((self.score[some].ravel(), score))
+        order = np.lexsort((other, -score, who))
+        who, other, score = who[order], other[order], score[order]
+        start = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+        rank = np.arange(len(who)) - np.repeat(start, np.diff(np.append(start, len(who))))
+        keep = rank < self.k
+        self.score[who[keep], rank[keep]] = score[keep]
+        self.other[who[keep], rank[keep]] = other[keep]
+
+    def columns(self) -> list[np.ndarray]:
+        """(id, other, score)"""
+        full = self.score != ITSELF
+        return [np.repeat(self.ids, full.sum(1)), self.other[full], self.score[full]]
+
+
 def _best(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, r: np.ndarray, k: int):
     """(id, other, score): the k best of ``r`` for each of ``q``, ties to the smaller id."""
-    out = [[np.zeros(0, np.int64)] for _ in range(3)]
-    order = np.argsort(rid, kind="stable")
-    rid, r = rid[order], r[order]
-    rn = np.sqrt((r * r).sum(1))
-    place = np.arange(len(rid), dtype=np.int64)
-    for i in range(0, len(qid) if len(rid) else 0, CHUNK):
-        some, own = q[i:i + CHUNK], qid[i:i + CHUNK]
-        cos = (some @ r.T) / np.outer(np.sqrt((some * some).sum(1)), rn)
-        score = np.floor(cos * 1e6 + 0.5).astype(np.int64)
-        key = (score << 24) - place  # by score, then id
-        key[own[:, None] == rid[None, :]] = ITSELF
-        kk = min(k, len(rid))
-        at = np.argpartition(-key, kk - 1, axis=1)[:, :kk] if kk < len(rid) else np.broadcast_to(place, key.shape)
-        who = np.repeat(np.arange(len(own)), at.shape[1])
-        at = at.ravel()
-        real = key[who, at] != ITSELF
-        who, at = who[real], at[real]
-        for column, values in zip(out, (own[who], rid[at], score[who, at])):
-            column.append(values)
-    return [np.concatenate(c) for c in out]
-
-
-PACKED = "size int, block int, ids binary, data binary"
-
-
-def _packed(rows: DataFrame, block: str = "block") -> DataFrame:
-    """One row to (size, block): the ids and the vectors as one matrix."""
+    now = Closest(qid, q, k)
+    for i in range(0, len(rid), BLOCK):
+        now.meet(rid[i:i + BLOCK], r[i:i + BLOCK])
+    return now.columns()
+
+
+def _packed(rows: DataFrame, block: str, kind: str) -> DataFrame:
+    """One row to (size, block): the ids and the vectors as one matrix of ``kind``."""
     def pack(key, table):
-        m = _matrix(table.column("v"))
-        return pa.table({"size": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
+        m = _matrix(table.column("v")).astype(kind)
+        return pa.table({"size": pa.array([key[0].as_py()], pa.int32()), block: pa.array([key[1].as_py()], pa.int32()),
                          "ids": [table.column("id").to_numpy().astype(np.int64).tobytes()], "data": [m.tobytes()]})
-    return rows.groupBy("size", block).applyInArrow(pack, PACKED)
+    return rows.groupBy("size", block).applyInArrow(pack, f"size int, {block} int, ids binary, data binary")
 
 
 def nearest(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
             block: int = BLOCK) -> DataFrame:
     """Exact k nearest vectors by cosine, (id, other, score, rank), ties to the smaller id.
 
-    Exact all-pairs search is a product by definition.  Vectors fall into hash blocks of
-    ``block`` at most, and into enough of them that the tiles occupy the cluster; a block is
-    one packed row, every (query block, base block) tile multiplies two matrices and keeps
-    its best k per query, and a final top k per id merges the partial lists.
+    Exact all-pairs search is a product by definition.  The queries fall into hash blocks of
+    ``ASKED`` bytes at most with their lists, and into enough of them to occupy the cluster; a
+    task takes one and reads all vectors in packed blocks of about ``block``, holding the k best
+    of each query only.  What is sent is the vectors once to a block of queries, and k rows to a query.
     """
     v = _valid(vectors, id_col, vec_col)
-    n = v.count()
-    nb = max(1, math.ceil(n / block), min(n, math.ceil(math.sqrt(2 * v.sparkSession.sparkContext.defaultParallelism))))
-    blocks = _packed(v.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")))
-    checkpoint_dir(v.sparkSession)
-    blocks = blocks.checkpoint(eager=True)
-    queries = blocks.select("size", F.col("block").alias("qb"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    every = blocks.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-
-    def tiles(batches):
+    kind = "float64" if "double" in v.schema["v"].dataType.simpleString() else "float32"
+    spark = v.sparkSession
+    checkpoint_dir(spark)
+    n, numbers = v.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    nb = max(1, math.ceil(n / block))
+    nq = max(1, math.ceil((8 * numbers + 24 * k * n) / ASKED), min(n, 2 * spark.sparkContext.defaultParallelism))
+    place = lambda parts: F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    blocks = _packed(v.withColumn("seq", place(nb)), "seq", kind).checkpoint(eager=True)
+    asked = _packed(v.withColumn("qb", place(nq)), "qb", kind).withColumn("seq", F.lit(-1))
+    read = blocks.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    rows = (asked.unionByName(read).repartition(4 * nq, "size", "qb").sortWithinPartitions("size", "qb", "seq")
+            .select("size", "qb", "seq", "ids", "data"))
+
+    def search(batches):
+        asking, now = None, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array(c) for c in now.columns()], names=["id", "other", "score"])
         for batch in batches:
             for row in batch.to_pylist():
-                side = lambda ids, data: (np.frombuffer(row[ids], np.int64),
-                                          np.frombuffer(row[data], np.float64).reshape(-1, row["size"]))
-                out = _best(*side("q_ids", "q_data"), *side("ids", "data"), k)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["id", "other", "score"])
-
-    pairs = every.join(queries, ["size", "qb"])
-    if nb * nb <= 4 * v.sparkSession.sparkContext.defaultParallelism:
-        pairs = pairs.repartition(max(1, nb * nb), "qb", "block")  # a few small tiles would share one task
-    found = pairs.drop("qb").mapInArrow(tiles, "id bigint, other bigint, score bigint")
+                ids = np.frombuffer(row["ids"], np.int64)
+                data = np.frombuffer(row["data"], kind).astype(np.float64).reshape(len(ids), -1)
+                if row["seq"] < 0:
+                    if now is not None:
+                        yield done()
+                    asking, now = (row["size"], row["qb"]), Closest(ids, data, k)
+                elif (row["size"], row["qb"]) == asking:  # a block without queries asks nothing
+                    now.meet(ids, data)
+        if now is not None:
+            yield done()
+
+    found = rows.mapInArrow(search, "id bigint, other bigint, score bigint")
     return top_k(found, "id", k, key="other").select("id", "other", "score", "rank")
 
 
