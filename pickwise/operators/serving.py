@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pickwise.operators.ordering import global_rank
 from pickwise.session import checkpoint_dir
 
-ITEMS, LISTED = 4096, 1 << 20  # items to a block; list places of a block of users
-USERS = 4096                   # users to a block, at most
+ITEMS, LISTED = 4096, 1 << 22  # items to a block; list places of a block of users
+USERS = 1 << 16                # users to a block, at most: the items are sent once to a block
 FIELDS = ("ids", "wants", "data")
 
 
@@ -80,12 +80,17 @@ def best_products(users: DataFrame, items: DataFrame) -> DataFrame:
     n_users, places = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum("want"), F.lit(0))).first()
     n = max(1, math.ceil(n_users / USERS), math.ceil(places / LISTED), min(n_users, 2 * spark.sparkContext.defaultParallelism))
 
+    kinds = {c: "float32" if "float" in df.schema["v"].dataType.simpleString() else "float64"
+             for c, df in (("user_id", users), ("item_id", items))}
+
     def pack(id_column, number):
         def run(key, table):
-            wants = table.column(number).to_numpy()
+            wants = table.column(number).to_numpy().astype(np.float64)
+            if id_column == "item_id":
+                wants = wants.max(keepdims=True)  # the greatest norm of the block
             ids = table.column(id_column).to_numpy().astype(np.int64)
-            return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ids": [ids.tobytes()],
-                             "wants": [wants.astype(np.float64).tobytes()], "data": [_matrix(table.column("v")).tobytes()]})
+            return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ids": [ids.tobytes()], "wants": [wants.tobytes()],
+                             "data": [_matrix(table.column("v")).astype(kinds[id_column]).tobytes()]})
         return run
     schema = "block int, ids binary, wants binary, data binary"
     item_blocks = placed.groupBy("block").applyInArrow(pack("item_id", "norm"), schema).checkpoint(eager=True)
@@ -101,13 +106,14 @@ def best_products(users: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 ids, numbers = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["wants"], np.float64)
-                data = np.frombuffer(row["data"], np.float64).reshape(len(ids), -1)
+                kind = kinds["user_id" if row["seq"] < 0 else "item_id"]
+                data = np.frombuffer(row["data"], kind).astype(np.float64).reshape(len(ids), -1)
                 if row["seq"] < 0:
                     if now is not None:
                         yield now.rows()
                     asking, now = row["ub"], Users(ids, numbers.astype(np.int64), data)
                 elif row["ub"] == asking:  # a block without users asks nothing
-                    now.meet(ids, data, float(numbers.max()))
+                    now.meet(ids, data, float(numbers[0]))
         if now is not None:
             yield now.rows()
 

@@ -9,6 +9,7 @@ from pickwise.operators import collaborative as cf
 from pickwise.operators import models as md
 from pickwise.operators import prep
 from pickwise.operators import vectors as vs
+from pickwise.operators.skew import roomy
 from pickwise.plans import sqlparts as q
 from pickwise.plans.registry import register
 from pickwise.sources import tables as src
@@ -31,7 +32,8 @@ def c10_als_recs(spark, sf_dir):
 
 @register("c11_als_implicit_recs")
 def c11_als_implicit_recs(spark, sf_dir):
-    inter = src.interactions(spark, sf_dir)
+    # the fit, the histories and what is excluded read them: joined and added up once
+    inter = src.interactions(spark, sf_dir).select("user_id", "item_id", "w").checkpoint(eager=True)
     model = md.als(inter, rating_col="w", implicit=True, rank=10, reg=0.1, iters=10, alpha=1.0)
     return md.als_recommend(model, inter, 10, "als_implicit")
 
@@ -54,7 +56,7 @@ SELECT ante, cons, n, """ + q.r6("n / (SELECT n FROM nn)") + """ AS support,
        """ + q.r6("n * (SELECT n FROM nn) / (ca.c * cb.c)") + """ AS lift
 FROM d JOIN c ca ON ca.item_id = ante JOIN c cb ON cb.item_id = cons""")
 def c13_pair_rules(spark, sf_dir):
-    return cf.pair_rules(src.load(spark, sf_dir, "lineitem"), 2)
+    return cf.pair_rules(roomy(src.load(spark, sf_dir, "lineitem")), 2)
 
 
 @register("c14_frequent_sets", """WITH b AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem),
