@@ -50,7 +50,6 @@ BATCH_IDS = 1 << 20   # ids that a reader unpacks at a time
 #: text bytes to a file: MOST at most, LEAST at least where the session has partitions to spare
 LEAST_BYTES, MOST_BYTES = 8 << 20, 256 << 20
 
-POWERS = np.uint64(1) << np.arange(33, dtype=np.uint64)
 SCHEMA = "doc_id long, start long, n_tokens long, ids array<int>"
 
 
@@ -60,8 +59,8 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """One block of uint32 ids."""
     least = ids.min()
     rest = ids - least
-    bits = np.sort(np.searchsorted(POWERS, rest.astype(np.uint64), "right"))
-    width = int(bits[max(0, math.ceil(len(bits) * percentile / 100) - 1)])
+    _, bits = np.frexp(rest.astype(np.float64))  # of whole numbers: how many bits each needs
+    width = int(np.searchsorted(np.cumsum(np.bincount(bits)), max(1, math.ceil(len(bits) * percentile / 100))))
     low = rest & np.uint32((1 << width) - 1)
     packed = np.unpackbits(low.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width) \
         if width else np.zeros(0, np.uint8)
@@ -321,7 +320,9 @@ OTHER_BLANK = re.compile(r"[^\S \n]")
 #: marks that make one pretoken together and none with letters or digits before them
 POINTS = string.punctuation.replace("'", "")
 LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-CALL_CHARS = 1 << 21  # characters of texts cut at a time
+#: letters and digits: a pretoken ends between one and marks, and between a single line end and one
+PLAIN = frozenset(string.ascii_letters + string.digits + "".join(c for c in map(chr, range(0xC0, 0x100)) if c.isalpha()))
+CALL_CHARS = 1 << 16  # characters of texts cut at a time: the chunks looked up are still in the cache
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 
@@ -338,47 +339,46 @@ class Encoder:
 
     The ids of a text are those of its chunks, as the byte-level pattern cuts there anyway.
     Two generations of ``keep`` chunks at most are held.  A chunk that is one pretoken goes to
-    the library without its pattern, as the characters that stand for its bytes.
+    the library's model without its pattern, as the characters that stand for its bytes.
     """
 
     def __init__(self, path: str, keep: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task to a core
         from tokenizers import Tokenizer
-        self.tokenizer, self.one = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for t in (self.tokenizer, self.one):
-            t.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.by_chunk = (self.tokenizer.normalizer is None
                          and json.loads(self.tokenizer.pre_tokenizer.__getstate__()) == BYTE_LEVEL)
-        self.one.pre_tokenizer = None
         self.table = byte_characters()
         self.keep, self.new, self.old = keep, {}, {}
 
-    @staticmethod
-    def ids(tokenizer, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def whole(self, texts: list[str]) -> list[bytes]:
-        return self.ids(self.tokenizer, texts)
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pretokens(self, chunks: list[str]) -> list[bytes]:
         shown = "\n".join(chunks).encode().decode("latin-1").translate(self.table)
-        return self.ids(self.one, shown.split(self.table[10]))
+        tokens = self.model.tokenize
+        return [array("I", [t.id for t in tokens(x)]).tobytes() for x in shown.split(self.table[10])]
 
     def learn(self, chunks: set[str]) -> None:
-        """Ids of all chunks into ``new``; a chunk that ends in marks is put together from its parts."""
+        """Ids of all chunks into ``new``; one with a line end before or marks after is put together from its parts."""
         new, old = self.new, self.old
-        ended, missing = [], set()
+        joined, missing = [], set()
         for chunk in chunks.difference(new):
             ids = old.get(chunk)
             if ids is not None:
                 new[chunk] = ids
                 continue
             part = chunk.rstrip(POINTS)
-            if part != chunk and part[-1:].isascii() and part[-1:].isalnum():
-                ended.append((chunk, part, chunk[len(part):]))
-            else:
+            parts = [part, chunk[len(part):]] if part != chunk and part[-1:] in PLAIN else [chunk]
+            if chunk[0] == "\n" and chunk[1:2] in PLAIN:
+                parts[:1] = "\n", parts[0][1:]
+            if len(parts) == 1:
                 missing.add(chunk)
-        for part in {p for e in ended for p in e[1:]}.difference(new):
+            else:
+                joined.append((chunk, parts))
+        for part in {p for _, parts in joined for p in parts}.difference(new):
             ids = old.get(part)
             if ids is None:
                 missing.add(part)
@@ -390,26 +390,35 @@ class Encoder:
         for some, how in ((one, self.pretokens), (other, self.whole)):
             for k in range(0, len(some), 4096):
                 new.update(zip(some[k:k + 4096], how(some[k:k + 4096])))
-        for chunk, part, points in ended:
-            new[chunk] = new[part] + new[points]
+        for chunk, parts in joined:
+            new[chunk] = b"".join([new[p] for p in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as uint32 of the machine's order."""
         if not self.by_chunk:
             return self.whole(texts)
         out: list[bytes] = []
-        cut: list = []
+        flat: list[str] = []   # the chunks of the texts since the last call, one text after the other
+        ends: list[int] = []   # where each text's end, -1 minus that for a text to be encoded whole
         held = 0
         for i, text in enumerate(texts):
-            cut.append(None if OTHER_BLANK.search(text) else CHUNK.findall(text))
+            other = OTHER_BLANK.search(text) is not None
+            if not other:
+                flat += CHUNK.findall(text)
+            ends.append(-1 - len(flat) if other else len(flat))
             held += len(text)
             if held < CALL_CHARS and i + 1 < len(texts):
                 continue
-            self.learn(set().union(*[c for c in cut if c is not None]))
-            ids = self.new.__getitem__
-            out += [self.whole([t])[0] if c is None else b"".join(map(ids, c))
-                    for t, c in zip(texts[len(out):i + 1], cut)]
-            cut, held = [], 0
+            ids = list(map(self.new.get, flat))
+            missing = [k for k, x in enumerate(ids) if x is None]
+            self.learn({flat[k] for k in missing})
+            for k in missing:
+                ids[k] = self.new[flat[k]]
+            first = 0
+            for text, end in zip(texts[len(out):i + 1], ends):
+                out.append(b"".join(ids[first:end]) if end >= 0 else self.whole([text])[0])
+                first = end if end >= 0 else -1 - end
+            flat, ends, held = [], [], 0
             if len(self.new) > self.keep:
                 self.old, self.new = self.new, {}
         return out

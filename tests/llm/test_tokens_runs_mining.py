@@ -68,6 +68,18 @@ def test_encoder_is_the_library():
                 assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_gives_a_new_word_to_the_model_alone(monkeypatch):
+    """A result of the whole library costs several times what the model takes for a word."""
+    text = "Der Wort, été,\nWort été!! a1. Wort,\nÉté; x-\nDer"
+    library = Tokenizer.from_file(BPE)
+    own, calls = token_blocks.Encoder(BPE), []
+    whole = own.whole
+    monkeypatch.setattr(own, "whole", lambda texts: calls.extend(texts) or whole(texts))
+    (ids,) = own.encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text).ids
+    assert not hasattr(own, "ids") and set(calls) == {" a1", "\n"}  # what is no word of letters only
+
+
 def expected_tokens(data):
     library = Tokenizer.from_file(BPE)
     library.encode_special_tokens = True
