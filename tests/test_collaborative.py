@@ -1,5 +1,7 @@
 import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import tiny_inter, tiny_ratings
@@ -107,3 +109,31 @@ def test_graph_walk_conserves_mass(spark):
     walk = cf.graph_walk(tiny_inter(spark), steps=7, checkpoint_every=3)
     total = walk.agg(F.sum("mass")).first()[0]
     assert abs(total - 1.0) < 1e-12
+
+
+@pytest.mark.parametrize("users, entries, most", [(2000, 1 << 20, 1 << 20), (3, 1 << 20, 1 << 20), (2000, 17, 7)])
+def test_user_cf_by_blocks(spark, users, entries, most):
+    """Ratings that come twice or lack item, user or value; users without neighbors; blocks of a few users."""
+    rnd = random.Random(11)
+    data = [(u, i, rnd.randint(1, 5)) for u in range(14) for i in range(12) if rnd.random() < 0.6]
+    data += data[:5] + [(3, None, 2), (None, 4, 5), (5, 11, None), (99, 1, 3)]
+    pearson = [(u, v, rnd.randint(-500_000, 1_000_000)) for u in range(14) for v in range(u + 1, 14) if rnd.random() < 0.7]
+    pearson += [(0, 77, 900_000), (None, 2, 500_000)]
+    ratings = spark.createDataFrame(data, "user_id bigint, item_id bigint, rating int")
+    found = cf.predict_user_cf(ratings, spark.createDataFrame(pearson, "id bigint, other bigint, score bigint"),
+                               users=users, entries=entries, most=most)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()  # no row to a neighbor's rating
+    mean, sums = {}, {}
+    for u in {u for u, _, _ in data}:
+        own = [y for w, _, y in data if w == u]
+        mean[u] = sum(y or 0 for y in own) / len(own)
+    for u, v, c in [p for a, b, c in pearson if c > 0 for p in ((a, b, c), (b, a, c))]:
+        for w, i, y in data:
+            if w == v and w is not None and u in mean and u is not None:
+                num, den = sums.get((u, i), (0.0, 0))
+                sums[u, i] = num + (0.0 if y is None else c * (y - mean[v])), den + c
+    seen = {(u, i) for u, i, _ in data if i is not None}
+    expected = {key: mean[key[0]] + num / den for key, (num, den) in sums.items() if key not in seen}
+    got = {(r.user_id, r.item_id): r.pred for r in found.collect()}
+    assert got.keys() == expected.keys() and len(got) > 40
+    assert all(abs(got[key] - expected[key]) < 2e-6 for key in got)
