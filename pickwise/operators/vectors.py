@@ -26,6 +26,7 @@ MOST_CELLS = 1 << 14    # centroids, at most; beyond it cells grow
 CELL_SAMPLE = 32        # vectors to fit a centroid on
 QUERIES = 256           # vectors whose true neighbours tell how many cells to probe
 CHUNK = 512             # queries multiplied at a time
+SCORED = 1 << 22        # numbers of vectors scored in doubles at a time
 ITSELF = -(1 << 62)     # under the key of any score
 
 
@@ -49,36 +50,50 @@ def _matrix(column) -> np.ndarray:
 class Closest:
     """The running k best of some query vectors, by score, ties to the smaller id.
 
-    A product counts only where it reaches the k-th best score that its query has so far, so
-    most are compared once and never scored.
+    Cosines are first taken in floats, of unit vectors.  Only those that reach the k-th best score
+    that their query has so far, within the floats' error, are scored in doubles: most pairs
+    are a product and a comparison.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
         self.norms = np.sqrt((vectors * vectors).sum(1))
+        self.unit = (vectors / self.norms[:, None]).astype(np.float32)
         self.score = np.full((len(ids), k), ITSELF)
         self.other = np.zeros((len(ids), k), np.int64)
 
     def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         norms = np.sqrt((vectors * vectors).sum(1))
+        unit = (vectors / norms[:, None]).astype(np.float32)
+        size = vectors.shape[1]
+        off = (size + 4) * 2.0 ** -23 + 1e-9  # more than a float's cosine is off
+        piece = max(1, SCORED // max(1, size))
+        room = np.empty((min(CHUNK, len(self.ids)), len(ids)), np.float32)
         for lo in range(0, len(self.ids) if len(ids) else 0, CHUNK):
-            own, own_norms = self.ids[lo:lo + CHUNK], self.norms[lo:lo + CHUNK]
-            dot = self.vectors[lo:lo + CHUNK] @ vectors.T
+            own = self.ids[lo:lo + CHUNK]
+            near = np.matmul(self.unit[lo:lo + CHUNK], unit.T, out=room[:len(own)])
             least = self.score[lo:lo + CHUNK, -1].astype(np.float64)
             new = np.flatnonzero(least == ITSELF)  # lists that are not full: the k best of these vectors alone
             if len(new):
                 least[new] = -2e6
                 if len(ids) > self.k:
-                    cos = dot[new] / np.outer(own_norms[new], norms)
+                    cos = near[new]
                     cos[own[new][:, None] == ids[None, :]] = -2.0
-                    least[new] = np.floor(np.partition(cos, len(ids) - self.k, axis=1)[:, len(ids) - self.k] * 1e6 + 0.5)
-            reach = (least - 0.5) / 1e6 - 1e-9
-            who, at = np.nonzero(dot >= np.outer(reach * own_norms, norms))
+                    cos = np.partition(cos, len(ids) - self.k, axis=1)[:, len(ids) - self.k].astype(np.float64)
+                    least[new] = np.floor((cos - off) * 1e6 + 0.5)
+            reach = np.nextafter(((least - 0.5) / 1e6 - off).astype(np.float32), np.float32(-4.0))
+            some = np.flatnonzero(near.max(axis=1) >= reach)
+            who, at = np.divmod(np.flatnonzero((near[some] >= reach[some, None]).ravel()), len(ids))
+            who = some[who]
             real = ids[at] != own[who]
             who, at = who[real], at[real]
-            if len(who):
-                score = np.floor(dot[who, at] / (own_norms[who] * norms[at]) * 1e6 + 0.5).astype(np.int64)
-                self._merge(lo + who, ids[at], score)
+            for i in range(0, len(who), piece):
+                w, a = lo + who[i:i + piece], at[i:i + piece]
+                dot = np.einsum("ij,ij->i", self.vectors[w], vectors[a])
+                score = np.floor(dot / (self.norms[w] * norms[a]) * 1e6 + 0.5).astype(np.int64)
+                ok = score >= np.maximum(least[w - lo], self.score[w, -1])
+                if ok.any():
+                    self._merge(w[ok], ids[a[ok]], score[ok])
 
     def _merge(self, who: np.ndarray, other: np.ndarray, score: np.ndarray) -> None:
         some = np.unique(who)
